@@ -236,8 +236,10 @@ VIEWS: dict[str, str] = {
                     WHEN order_id NOT IN (SELECT order_id FROM good_orders) THEN 'unknown_order'
                     WHEN product_id NOT IN (SELECT product_id FROM good_products) THEN 'unknown_product'
                END AS reject_reason
-        FROM (SELECT item_id, order_id, product_id, quantity, unit_price, discount_percent, COUNT(*) AS copies
-              FROM fx_items_dirty GROUP BY ALL) d""",
+        FROM (SELECT item_id, order_id, product_id, quantity, unit_price, discount_percent, COUNT(*) AS copies,
+                     row_number() OVER (PARTITION BY item_id ORDER BY order_id, product_id, quantity, unit_price,
+                                        discount_percent) AS place
+              FROM fx_items_dirty GROUP BY item_id, order_id, product_id, quantity, unit_price, discount_percent) d""",
     "good_customers": """
         SELECT customer_id, capitals(customer_name) AS customer_name, email,
                CASE WHEN phone IS NULL THEN 'Not Provided'
@@ -596,11 +598,12 @@ QUERIES: dict[str, str] = {
         FROM good_orders""",
     "clean_order_items": f"""SELECT item_id, order_id, product_id, CAST(quantity AS INTEGER) AS quantity,
         CAST(unit_price AS DOUBLE) AS unit_price, {_double("discount_percent")}
-        FROM judged_items WHERE reject_reason IS NULL""",
+        FROM judged_items WHERE place = 1 AND reject_reason IS NULL""",
     "quarantine_order_items": f"""SELECT item_id, order_id, product_id, quantity, unit_price,
-        {_double("discount_percent")}, reject_reason, 1 AS copies FROM judged_items WHERE reject_reason IS NOT NULL
+        {_double("discount_percent")}, reject_reason, 1 AS copies FROM judged_items
+        WHERE place = 1 AND reject_reason IS NOT NULL
         UNION ALL SELECT item_id, order_id, product_id, quantity, unit_price, {_double("discount_percent")},
-        'duplicate', copies - 1 FROM judged_items WHERE copies > 1""",
+        'duplicate', copies - CAST(place = 1 AS INTEGER) FROM judged_items WHERE copies > 1 OR place > 1""",
     "flag_email_valid": f"""SELECT customer_id, titled AS customer_name, email, phone, {_iso("dob")},
         {_iso("registration_date")}, {_iso("signup_date")}, address, city, state, segment, region, customer_type,
         COALESCE(CAST(email LIKE '%@%' AND contains(string_split(email, '@')[-1], '.') AS INTEGER), 0) AS email_valid

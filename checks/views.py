@@ -10,6 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Schemas of the given tables; stating them saves a job per table that would read file footers.
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+}
+
 REGIONS = ("NORTH", "SOUTH", "EAST", "WEST", "CENTRAL")
 CUSTOMER_TYPES = ("REGULAR", "PREMIUM", "VIP")
 PAYMENT_METHODS = ("Card", "Cash", "Transfer", "Wallet")
@@ -34,7 +47,7 @@ class Views:
         self.dir = sf_dir
 
     def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.dir}/{name}.parquet")
 
     # Customers -------------------------------------------------------------------------------
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,20 +58,23 @@ def upsert_validation(before: DataFrame, after: DataFrame, source: DataFrame, ke
     as many rows whose `label` starts with `prefix` as the source brought on top of the rows it left
     untouched."""
     marked = F.count_if(F.col(label).startswith(prefix))
-    old = before.agg(F.count("*").alias("rows_before"))
-    kept = before.join(source.select(key), key, "left_anti").agg(marked.alias("marked_kept"))
-    brought = source.agg(marked.alias("marked_brought"))
-    new = after.groupBy(key).agg(F.count("*").alias("_n"), marked.alias("_marked")).agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_after"),
-        F.count_if(F.col("_n") > 1).alias("repeated"),
-        F.coalesce(F.sum("_marked"), F.lit(0)).alias("marked_after"),
-    )
+    kept = before.join(source.select(key), key, "left_anti")
     counts = upsert_counts(before, source, key)
-    # One-row aggregates side by side.
-    facts = [old, new, counts, kept, brought]
-    line = facts[0].withColumn("_one", F.lit(1))
-    for part in facts[1:]:
-        line = line.join(part.withColumn("_one", F.lit(1)), "_one")
+    keys_after = after.groupBy(key).agg(F.count("*").alias("_n"), marked.alias("_marked"))
+    # Every fact is one row (name, value); together they make one wide row.
+    facts = {
+        "rows_before": before.agg(F.count("*")),
+        "rows_after": keys_after.agg(F.sum("_n")),
+        "repeated": keys_after.agg(F.count_if(F.col("_n") > 1)),
+        "marked_after": keys_after.agg(F.sum("_marked")),
+        "marked_kept": kept.agg(marked),
+        "marked_brought": source.agg(marked),
+        "rows_to_insert": counts.select("rows_to_insert"),
+    }
+    named = [fact.toDF("value").select(F.lit(n).alias("name"), "value") for n, fact in facts.items()]
+    line = reduce(DataFrame.unionByName, named).agg(*(
+        F.coalesce(F.max(F.when(F.col("name") == n, F.col("value"))), F.lit(0)).alias(n) for n in facts
+    ))
     checks: Sequence[tuple[str, Column, Column]] = (
         ("row_delta", F.col("rows_to_insert"), F.col("rows_after") - F.col("rows_before")),
         ("duplicate_keys", F.lit(0).cast("bigint"), F.col("repeated")),

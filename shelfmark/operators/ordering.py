@@ -17,15 +17,17 @@ from shelfmark.session import durable
 SLICE_BITS = 33  # monotonically_increasing_id keeps the partition number above these bits
 
 
-def number_rows(df: DataFrame, keys: Sequence[Column], running: Sequence[str] = ()) -> DataFrame:
+def number_rows(df: DataFrame, keys: Sequence[Column], running: Sequence[str] = (),
+                slices: int | None = None) -> DataFrame:
     """Add `row_number` and `row_count` over the order `keys`, and for each column c in `running`
     the sums `running_c` (up to and including the row) and `total_c`.
 
     `keys` must order the rows totally. Slices are written once, so that the counting and the
-    numbering see the same ones.
+    numbering see the same ones. Their number follows the data size (AQE) unless `slices` fixes it.
     """
+    ranges = df.repartitionByRange(*keys) if slices is None else df.repartitionByRange(slices, *keys)
     placed = durable(
-        df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        ranges.sortWithinPartitions(*keys)
         .withColumn("_at", F.monotonically_increasing_id())
     ).withColumn("_slice", F.shiftright("_at", SLICE_BITS))
 
@@ -87,8 +89,9 @@ def ranked_top(df: DataFrame, value: str, k: int, name: str, ascending: bool = F
     """All rows whose RANK over `value` is at most `k`, ties kept, with the rank in `name`.
 
     The k best values (k rows at most) settle both the cut and the ranks; the table itself is
-    only filtered against them.
+    only filtered against them. It is read twice, so it is written once first.
     """
+    df = durable(df)
     order = F.col(value).asc_nulls_last() if ascending else F.col(value).desc_nulls_last()
     best = df.select(value).filter(F.col(value).isNotNull()).orderBy(order).limit(k)
     ranks = best.select(value, F.rank().over(W.orderBy(order)).alias(name)).distinct()

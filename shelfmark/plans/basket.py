@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.operators.ordering import number_rows
+from shelfmark.session import durable
 
 HEAVY_BASKET = 500
 
@@ -14,47 +15,54 @@ def pair_counts(rev: DataFrame, min_support: int = 3, heavy: int = HEAVY_BASKET)
     """`product_a < product_b` with the number of orders that hold both, at least `min_support`.
 
     Only products found in `min_support` orders can be part of an answer, so the others leave
-    first. Pairs are then formed inside orders of up to `heavy` such products. Larger orders never
-    pair all their products: a pair seen in small orders is looked up in the large ones, and a pair
-    seen in none of them needs both products in `min_support` large orders.
+    first. Pairs are then formed inside orders of up to `heavy` such products; larger orders are
+    handled by `_with_large_orders`.
     """
     bought = rev.filter(F.col("quantity") > 0).select("order_id", "product_id").distinct()
     frequent = bought.groupBy("product_id").agg(F.count("*").alias("_orders")).filter(F.col("_orders") >= min_support)
     baskets = bought.join(frequent.select("product_id"), "product_id", "left_semi")
     sizes = baskets.groupBy("order_id").agg(F.count("*").alias("_size")).filter(F.col("_size") > 1)
-    sized = baskets.join(sizes, "order_id")
+    # Written once: the steps below read these short rows instead of joining items and orders again.
+    sized = durable(baskets.join(sizes, "order_id"))
     light = sized.filter(F.col("_size") <= heavy).select("order_id", "product_id")
     large = sized.filter(F.col("_size") > heavy).select("order_id", "product_id")
 
-    in_light = _pairs(light).groupBy("product_a", "product_b").agg(F.count("*").alias("_light"))
+    in_light = _pairs(light).groupBy("product_a", "product_b").agg(F.count("*").alias("times_bought_together"))
+    counted = in_light if large.isEmpty() else _with_large_orders(durable(in_light), large, min_support)
+    return counted.filter(F.col("times_bought_together") >= min_support)
 
-    # Pairs known from small orders: count the large orders that hold both products.
-    large_orders = large.groupBy("product_id").agg(F.count("*").alias("_n"))
-    n_a, n_b = (large_orders.select(F.col("product_id").alias(f"product_{s}"), F.col("_n").alias(f"_n_{s}")) for s in "ab")
-    possible = F.least(*(F.coalesce(F.col(f"_n_{s}"), F.lit(0)) for s in "ab"))
+
+def _with_large_orders(in_light: DataFrame, large: DataFrame, min_support: int) -> DataFrame:
+    """Add the large orders to the pair counts of the small ones, without pairing all their products.
+
+    A pair seen in small orders is looked up in the large ones, if these can lift it to the support
+    at all. A pair seen in none of them needs both products in `min_support` large orders.
+    """
+    pair = ["product_a", "product_b"]
+    spread = large.groupBy("product_id").agg(F.count("*").alias("_n"))
+    n_a, n_b = (spread.select(F.col("product_id").alias(p), F.col("_n").alias(f"_n_{p}")) for p in pair)
+    possible = F.least(*(F.coalesce(F.col(f"_n_{p}"), F.lit(0)) for p in pair))
+    seen = F.col("times_bought_together")
     candidates = (
         in_light.join(n_a, "product_a", "left").join(n_b, "product_b", "left")
-        .withColumn("_possible", possible).filter(F.col("_light") + F.col("_possible") >= min_support)
+        .withColumn("_possible", possible).filter(seen + F.col("_possible") >= min_support)
     )
-    holds_a = large.select("order_id", F.col("product_id").alias("product_a"))
-    holds_b = large.select("order_id", F.col("product_id").alias("product_b"))
+    holds_a, holds_b = (large.select("order_id", F.col("product_id").alias(p)) for p in pair)
     looked_up = (
-        candidates.filter(F.col("_possible") > 0).select("product_a", "product_b")
+        candidates.filter(F.col("_possible") > 0).select(*pair)
         .join(holds_a, "product_a").join(holds_b, ["order_id", "product_b"])
-        .groupBy("product_a", "product_b").agg(F.count("*").alias("_large"))
+        .groupBy(*pair).agg(F.count("*").alias("_large"))
     )
-    both = F.col("_light") + F.coalesce(F.col("_large"), F.lit(0))
-    seen_light = candidates.join(looked_up, ["product_a", "product_b"], "left").select(
-        "product_a", "product_b", both.alias("times_bought_together"))
+    both = seen + F.coalesce(F.col("_large"), F.lit(0))
+    known = candidates.join(looked_up, pair, "left").select(*pair, both.alias("times_bought_together"))
 
-    # Pairs of large orders only.
-    often_large = large.join(
-        large_orders.filter(F.col("_n") >= min_support).select("product_id"), "product_id", "left_semi")
+    often = spread.filter(F.col("_n") >= min_support).select("product_id")
     only_large = (
-        _pairs(often_large).groupBy("product_a", "product_b").agg(F.count("*").alias("times_bought_together"))
-        .join(in_light.select("product_a", "product_b"), ["product_a", "product_b"], "left_anti")
+        _pairs(large.join(often, "product_id", "left_semi"))
+        .groupBy(*pair).agg(F.count("*").alias("times_bought_together"))
+        .join(in_light.select(*pair), pair, "left_anti")
     )
-    return seen_light.unionByName(only_large).filter(F.col("times_bought_together") >= min_support)
+    return known.unionByName(only_large)
 
 
 def _pairs(baskets: DataFrame) -> DataFrame:

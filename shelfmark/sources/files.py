@@ -21,7 +21,7 @@ CSV_FORMAT = {
 def read_csv(spark: SparkSession, path: str, schema: StructType, keep_corrupt: bool = False) -> DataFrame:
     """A CSV file or directory under an explicit schema; no extra pass to guess types.
 
-    Values that do not fit become NULL. With `keep_corrupt` the text of such a line is kept in
+    Empty values and values that do not fit become NULL. With `keep_corrupt` the text of such a line is kept in
     `_corrupt_record`.
     """
     reader = spark.read.options(**CSV_FORMAT).option("mode", "PERMISSIVE")
