@@ -11,7 +11,7 @@ import time
 from collections import Counter
 
 import duckdb
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from checks import oracle, registry
 from shelfmark.session import local_session
@@ -42,9 +42,9 @@ def spark_rows(df: DataFrame) -> tuple[list[str], list[tuple]]:
     return df.columns, [tuple(row) for row in df.collect()]
 
 
-def differences(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf_dir: str) -> tuple[str, int]:
-    """Empty text where both engines agree, and the number of rows."""
-    columns, rows = spark_rows(registry.queries()[name](spark, sf_dir))
+def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, name: str) -> tuple[str, int]:
+    """Empty text where `df` holds the rows DuckDB finds for the query, and the number of rows."""
+    columns, rows = spark_rows(df)
     sql = oracle.statements().get(name)
     if sql is None:
         return "no SQL", len(rows)
@@ -72,7 +72,7 @@ def main() -> None:
     for name in args.names or registry.queries():
         started = time.time()
         try:
-            fault, count = differences(spark, con, name, sf_dir)
+            fault, count = differences(registry.queries()[name](spark, sf_dir), con, name)
         except Exception as error:  # report and go on with the next query
             fault, count = f"{type(error).__name__}: {str(error)[:600]}", -1
         print(f"{'ok  ' if not fault else 'FAIL'} {name} rows={count} {time.time() - started:.1f}s {fault}", flush=True)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.operators.dedupe import repeated_keys
+from shelfmark.session import fresh_path
 
 
 class DuplicateKeyError(ValueError):
@@ -26,6 +27,31 @@ def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return untouched.select(*target.columns).unionByName(source.select(*target.columns))
 
 
+class MovedKeyError(ValueError):
+    """An update would move a key to another partition."""
+
+
+def upsert_partitions(path: str, source: DataFrame, key: str, partition: str) -> None:
+    """Upsert into a Parquet directory partitioned by `partition`, rewriting only the partitions the
+    source touches.
+
+    The new rows of these partitions are staged in the shared folder first, so a failed run leaves
+    either the old table or a complete stage behind. A key must stay in its partition.
+    """
+    spark = source.sparkSession
+    target = spark.read.parquet(path)
+    # Partition values, not rows: no more than the table has directories.
+    touched = F.col(partition).isin([row[0] for row in source.select(partition).distinct().collect()])
+    elsewhere = target.filter(~touched).select(key).join(source.select(key), key, "left_semi")
+    if not elsewhere.isEmpty():
+        raise MovedKeyError(f"the source moves values of {key} to another {partition}")
+    stage = fresh_path(spark, "stage")
+    upsert(target.filter(touched), source, key).write.partitionBy(partition).parquet(stage)
+    staged = spark.read.schema(target.schema).parquet(stage)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    spark.catalog.refreshByPath(path)
+
+
 def upsert_counts(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """One row: how many source rows update and how many insert."""
     known = target.select(key).distinct().withColumn("_known", F.lit(True))

@@ -122,27 +122,48 @@ def quarantine_order_items(items: DataFrame, orders: DataFrame, products: DataFr
     of input rows each stands for (`copies`). Accepted rows plus copies equal the input."""
     columns = ["item_id", "order_id", "product_id", "quantity", "unit_price", "discount_percent"]
     rest = columns[1:]
-    distinct_rows = items.groupBy(*columns).agg(F.count("*").alias("copies"))
+    # Copies merge first, so an id with very many copies reaches the join below as a few rows.
+    distinct_rows = items.groupBy(*columns).agg(F.count("*").alias("_copies"))
     survivor = distinct_rows.groupBy("item_id").agg(F.min(F.struct(*rest)).alias("_first"))
-    tagged = distinct_rows.join(survivor, "item_id").withColumn("_survives", F.struct(*rest).eqNullSafe(F.col("_first")))
-
-    raw = F.struct(*columns).alias("_raw")
-    typed = _typed_items(tagged.filter("_survives").select(*columns, raw))
+    survives = F.struct(*rest).eqNullSafe(F.col("_first")).alias("_survives")
+    tagged = distinct_rows.join(survivor, "item_id").select(*columns, "_copies", survives, F.struct(*columns).alias("_raw"))
     flagged = (
-        typed
+        _typed_items(tagged)
         .join(orders.select("order_id", F.lit(True).alias("_order")), "order_id", "left")
         .join(products.select("product_id", F.lit(True).alias("_product")), "product_id", "left")
     )
-    reason = F.coalesce(
+    reason = F.when(F.col("_survives"), F.coalesce(
         _item_fault(),
         F.when(F.col("_order").isNull(), F.lit("unknown_order")),
         F.when(F.col("_product").isNull(), F.lit("unknown_product")),
+    ))
+    spare = F.col("_copies") - F.col("_survives").cast("int")
+    verdicts = F.array(
+        F.struct(reason.alias("reason"), F.lit(1).cast("bigint").alias("copies")),
+        F.struct(F.when(spare > 0, F.lit("duplicate")).alias("reason"), spare.alias("copies")),
     )
-    rejected = flagged.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull()).select(
-        "_raw.*", "reject_reason", F.lit(1).cast("bigint").alias("copies"))
-    spare = F.col("copies") - F.col("_survives").cast("int")
-    duplicates = tagged.select(*columns, F.lit("duplicate").alias("reject_reason"), spare.alias("copies"))
-    return rejected.unionByName(duplicates.filter(F.col("copies") > 0))
+    rejected = flagged.select("_raw", F.explode(verdicts).alias("_verdict")).filter(F.col("_verdict.reason").isNotNull())
+    return rejected.select("_raw.*", F.col("_verdict.reason").alias("reject_reason"), F.col("_verdict.copies").alias("copies"))
+
+
+# Lakehouse tables without rules of their own ----------------------------------------------------
+
+def clean_lake_products(products: DataFrame) -> DataFrame:
+    """One row per product with cased name and category."""
+    return dedupe_by_key(products, ["product_id"]).withColumns({
+        c: name_case(F.col(c)) for c in ("product_name", "category")})
+
+
+def clean_lake_orders(orders: DataFrame) -> DataFrame:
+    """One row per order, complete keys, typed date."""
+    complete = drop_incomplete(dedupe_by_key(orders, ["order_id"]), ["order_id", "customer_id", "product_id"])
+    return complete.withColumn("order_date", F.try_to_date(F.col("order_date").cast("string"), "yyyy-MM-dd"))
+
+
+def clean_payments(payments: DataFrame) -> DataFrame:
+    """One row per payment, typed date."""
+    return dedupe_by_key(payments, ["payment_id"]).withColumn(
+        "payment_date", F.try_to_date(F.col("payment_date").cast("string"), "yyyy-MM-dd"))
 
 
 # Composite pipelines ---------------------------------------------------------------------------

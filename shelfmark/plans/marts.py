@@ -68,8 +68,23 @@ def product_summary(orders: DataFrame, products: DataFrame, exclude: Sequence[st
 
 def category_revenue(orders: DataFrame, products: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Revenue per category."""
-    return product_summary(orders, products, exclude).select(
-        "category", F.col("total_revenue").alias("category_revenue"))
+    return _revenue_only(product_summary(orders, products, exclude))
+
+
+def _revenue_only(by_category: DataFrame) -> DataFrame:
+    return by_category.select("category", F.col("total_revenue").alias("category_revenue"))
+
+
+def roll_up_products(by_product: DataFrame) -> DataFrame:
+    """`product_summary` from a stored `sales_summary`, without reading the orders again."""
+    return by_product.groupBy("category").agg(
+        F.sum("total_orders").alias("total_orders"), F.sum("total_quantity_sold").alias("total_units_sold"),
+        F.round(F.sum("total_revenue"), 2).alias("total_revenue"))
+
+
+def roll_up_revenue(by_product: DataFrame) -> DataFrame:
+    """`category_revenue` from a stored `sales_summary`."""
+    return _revenue_only(roll_up_products(by_product))
 
 
 def monthly_revenue(orders: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:

@@ -72,3 +72,12 @@ def period_comparison(rev: DataFrame, start: date, end: date) -> DataFrame:
     return wide.select(F.explode(rows).alias("_row")).select("_row.*").withColumns({
         "change": percent_change_text(current, previous), "change_pct": percent_change(current, previous),
     })
+
+
+def period_report(rev: DataFrame, products: DataFrame, unit: str, start: date, end: date) -> dict[str, DataFrame]:
+    """The whole report: comparison with the window before, best products, breakdown."""
+    return {
+        "summary": period_comparison(rev, start, end),
+        "top_products": period_top_products(rev, products, start, end),
+        "breakdown": period_breakdown(rev, unit, start, end).orderBy("period"),
+    }

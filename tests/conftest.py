@@ -11,11 +11,15 @@ sys.path.insert(0, ROOT)
 SMALL = "/root/testdata/sf0.001"
 
 
+def physical(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.fixture(scope="session")
 def spark():
     from shelfmark.session import local_session
 
-    session = local_session(4, shuffle_partitions=4)
+    session = local_session(8, shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -2,31 +2,8 @@
 
 from __future__ import annotations
 
-import re
-
-import pytest
-
 from checks import registry
-from tests.conftest import SMALL
-
-# Windows over all rows of a small, bounded input: one row per range slice, calendar month or top-k row.
-BOUNDED_WINDOWS = {
-    "basket_pairs", "customer_row_number_rank", "ltv_quartiles", "pareto_customers", "product_rank_in_category",
-    "yoy_growth", "yoy_growth_dense", "top_customers_ranked", "bottom_customers_ranked", "customer_overall_rank",
-}
-
-
-def physical(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-@pytest.mark.parametrize("name", list(registry.QUERIES))
-def test_no_cross_join_python_or_global_window(spark, name):
-    plan = physical(registry.queries()[name](spark, SMALL))
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
-    assert "Python" not in plan and "InPandas" not in plan
-    if name not in BOUNDED_WINDOWS:
-        assert not re.search(r"Window \[[^\n]*\n(?:[^\n]*\n){0,3}[^\n]*Exchange SinglePartition", plan)
+from tests.conftest import SMALL, physical
 
 
 def test_flagship_reads_only_what_it_needs(spark):
