@@ -1,12 +1,13 @@
 """Run queries in Spark and in DuckDB over the same Parquet files and compare the rows.
 
-    python -m checks.compare [--sf 0.01] [query ...]
+    python -m checks.compare [--sf 0.01 | --dir PATH] [query ...]
 """
 
 from __future__ import annotations
 
 import argparse
 import math
+import os
 import time
 from collections import Counter
 
@@ -23,7 +24,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def duckdb_tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for table in TABLES:
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+        path = f"{sf_dir}/{table}.parquet"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{files}'")
     return con
 
 
@@ -63,9 +66,10 @@ def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, name: str) -> tup
 def main() -> None:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--dir", help="another directory with the same tables")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
-    sf_dir = f"/root/testdata/sf{args.sf}"
+    sf_dir = args.dir or f"/root/testdata/sf{args.sf}"
     spark = local_session(8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb_tables(sf_dir)

@@ -124,7 +124,7 @@ def _rule_violations(v: Views) -> DataFrame:
     as_of = F.lit("2000-12-31").cast("date")
     parts = [
         quality.rule_violations(_lake_products(v), quality.price_rules()),
-        quality.rule_violations(clean._typed_items(v.items_dirty()), quality.quantity_rules()),
+        quality.rule_violations(clean.typed_items(v.items_dirty()), quality.quantity_rules()),
         quality.rule_violations(v.customers(), quality.customer_rules(as_of)),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -148,7 +148,7 @@ def _constraint_report(v: Views) -> DataFrame:
         "orders": (v.orders_dirty(), rules(
             unique=["order_id"],
             checks={"known_status": F.col("status").isin("DELIVERED", "SHIPPED", "PLACED", "CANCELLED")})),
-        "order_items": (clean._typed_items(v.items_dirty()), rules(
+        "order_items": (clean.typed_items(v.items_dirty()), rules(
             unique=["item_id"], not_null=["quantity"],
             checks={"moved_units": F.col("quantity") != 0, "discount_range": F.col("discount_percent").between(0, 100)},
             references=[ref("order_id", v.orders(), "order_id"), ref("product_id", v.products(), "product_id")])),

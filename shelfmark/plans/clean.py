@@ -90,7 +90,8 @@ def _whole(text: Column) -> Column:
     return F.when(number == F.floor(number), number.cast("int"))
 
 
-def _typed_items(items: DataFrame) -> DataFrame:
+def typed_items(items: DataFrame) -> DataFrame:
+    """Item text as numbers; what does not parse becomes NULL."""
     return items.withColumns({
         "quantity": _whole(F.col("quantity")),
         "unit_price": F.col("unit_price").try_cast(MONEY),
@@ -98,7 +99,7 @@ def _typed_items(items: DataFrame) -> DataFrame:
     })
 
 
-def _item_fault() -> Column:
+def item_fault() -> Column:
     """The first rule a typed item breaks, NULL for a good one."""
     quantity, price, discount = (F.col(c) for c in ("quantity", "unit_price", "discount_percent"))
     return (
@@ -111,8 +112,8 @@ def _item_fault() -> Column:
 
 def clean_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """One row per item, numeric, in range, and pointing at a clean order and product."""
-    typed = _typed_items(dedupe_by_key(items, ["item_id"]))
-    sound = typed.filter(_item_fault().isNull())
+    typed = typed_items(dedupe_by_key(items, ["item_id"]))
+    sound = typed.filter(item_fault().isNull())
     known = referenced(referenced(sound, orders, "order_id"), products, "product_id")
     return known.select("item_id", "order_id", "product_id", "quantity", "unit_price", "discount_percent")
 
@@ -128,12 +129,12 @@ def quarantine_order_items(items: DataFrame, orders: DataFrame, products: DataFr
     survives = F.struct(*rest).eqNullSafe(F.col("_first")).alias("_survives")
     tagged = distinct_rows.join(survivor, "item_id").select(*columns, "_copies", survives, F.struct(*columns).alias("_raw"))
     flagged = (
-        _typed_items(tagged)
+        typed_items(tagged)
         .join(orders.select("order_id", F.lit(True).alias("_order")), "order_id", "left")
         .join(products.select("product_id", F.lit(True).alias("_product")), "product_id", "left")
     )
     reason = F.when(F.col("_survives"), F.coalesce(
-        _item_fault(),
+        item_fault(),
         F.when(F.col("_order").isNull(), F.lit("unknown_order")),
         F.when(F.col("_product").isNull(), F.lit("unknown_product")),
     ))

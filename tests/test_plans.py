@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import functions as F
+
 from checks import registry
+from shelfmark.operators import joins
+from shelfmark.plans import customers, facts
 from tests.conftest import SMALL, physical
 
 
@@ -29,3 +34,65 @@ def test_date_range_reaches_the_scan(spark, tmp_path, views):
     files.write_parquet(views.orders(), str(tmp_path / "orders"))
     plan = physical(shop.placed_in_year(files.read_parquet(spark, str(tmp_path / "orders")), 1997))
     assert "GreaterThanOrEqual(order_date,1997-01-01)" in plan and "LessThan(order_date,1998-01-01)" in plan
+
+
+@pytest.fixture
+def small_thresholds(spark):
+    """Skew handling as on large data, at test size: no broadcasts, small target partitions."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {name: spark.conf.get(name, None) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in old.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def _final_plan(df):
+    df.collect()
+    return physical(df).split("== Initial Plan ==")[0]
+
+
+def _items(spark, hot_share: int):
+    """Items of which one order holds one in `hot_share`, spread over several input partitions."""
+    order = F.when(F.col("id") % hot_share == 0, F.lit(7)).otherwise(F.col("id") % 900)
+    return spark.range(0, 40000, 1, 8).select(
+        F.col("id").alias("item_id"), order.alias("order_id"), (F.col("id") % 300).alias("product_id"),
+        F.lit(2).alias("quantity"), F.lit("9.99").cast("decimal(12,2)").alias("unit_price"),
+        F.lit(5).cast("decimal(5,2)").alias("discount_percent"), F.sha2(F.col("id").cast("string"), 256).alias("note"))
+
+
+def _orders(spark):
+    return spark.range(900).select(
+        F.col("id").alias("order_id"), (F.col("id") % 50).alias("customer_id"),
+        F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("order_date"),
+        F.lit("SHIPPED").alias("status"), F.lit("WEST").alias("region_code"), F.lit(0).alias("is_guest"))
+
+
+def test_hot_order_is_split_in_the_line_join(spark, small_thresholds):
+    lines = facts.order_lines(_items(spark, 3), _orders(spark))
+    assert "skew=true" in _final_plan(lines)
+    assert lines.count() == 40000
+
+
+def test_hot_key_is_split_in_the_outer_joins(spark, small_thresholds):
+    people = _orders(spark).select("order_id", F.col("region_code").alias("name"))
+    for join in (joins.keep_all_of_one, joins.keep_all_of_many, joins.keep_all):
+        joined = join(people, _items(spark, 3).select("order_id", "note"), "order_id")
+        assert "skew=true" in _final_plan(joined), join.__name__
+
+
+def test_hot_customer_days_meet_no_order_window(spark):
+    """The window of the order gaps runs above an aggregate per customer and day."""
+    lines = physical(customers.customer_risk(_orders(spark))).splitlines()
+    window = next(i for i, line in enumerate(lines) if "Window [" in line)
+    aggregate = next(i for i, line in enumerate(lines) if "Aggregate(keys=[customer_id" in line)
+    assert window < aggregate and "order_date" in lines[aggregate]
