@@ -23,13 +23,15 @@ def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
     line_value = discounted(F.col("quantity") * price, F.col("discount_percent").cast(PERCENT)).cast(LINE_MONEY)
     returned = F.col("quantity") < 0
     zero = F.lit(0).cast(LINE_MONEY)
+    net = F.col("net_revenue")
     measured = items.select(
         "item_id", "order_id", "product_id", "quantity", "unit_price", "discount_percent",
         line_value.alias("net_revenue"),
-        F.when(returned, zero).otherwise(line_value).alias("gross_revenue"),
-        F.when(returned, -line_value).otherwise(zero).alias("return_value"),
-        returned.cast("int").alias("is_return"),
-    )
+    ).withColumns({
+        "gross_revenue": F.when(returned, zero).otherwise(net),
+        "return_value": F.when(returned, -net).otherwise(zero),
+        "is_return": returned.cast("int"),
+    })
     headers = orders.select(
         "order_id", "customer_id", "order_date", "status", "region_code", "is_guest",
         F.col("order_date").alias("order_day"), month_key(F.col("order_date")).alias("order_month"),

@@ -6,12 +6,12 @@ load of a table.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.operators import change, dedupe
+from shelfmark.operators import change, dedupe, joins, quality
 from shelfmark.plans import clean, marts, privacy
 from shelfmark.session import durable
 from shelfmark.sources import files, tables
@@ -84,6 +84,19 @@ def clean_store(raw: Layer, as_of: Column) -> Layer:
 
 # Incremental load ------------------------------------------------------------------------------
 
+class OrphanError(ValueError):
+    """Rows point at a parent that does not exist."""
+
+
+def append_checked(rows: DataFrame, name: str, key: str, references: Sequence[quality.Reference]) -> None:
+    """Append new rows to a table after checking their foreign keys; nothing is written if one fails."""
+    for ref in references:
+        missing = joins.orphan_count(rows, ref.column, ref.parent, ref.parent_key, count_null=False).first()["violations"]
+        if missing:
+            raise OrphanError(f"{missing} rows for {name} have no {ref.column}")
+    tables.append_new_rows(rows, name, key)
+
+
 def remove_duplicates(spark: SparkSession, name: str, key: str, folder: str) -> None:
     """Keep one row per key of a table; nothing is written where no key repeats."""
     rows = tables.read_table(spark, name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 from decimal import Decimal as D
 
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 
 from shelfmark import schemas
 from shelfmark.operators import change, joins, quality
-from shelfmark.plans import shop
+from shelfmark.plans import layers, shop
+from shelfmark.session import fresh_path
+from shelfmark.sources import tables
 
 # Fixed values.
 CUSTOMERS = [
@@ -131,3 +134,19 @@ def test_outer_joins_match_spark(spark):
     assert found(joins.keep_all(one, many, "k")) == found(one.join(many, "k", "full"))
     assert joins.orphan_count(many, "k", one, "k").first()[0] == 2
     assert joins.orphan_count(many, "k", one, "k", count_null=False).first()[0] == 1
+
+
+def test_order_batch_is_checked_before_it_is_written(spark, customers, orders):
+    name = f"orders_{uuid.uuid4().hex}"
+    tables.save_table(orders, name, fresh_path(spark, name))
+    owner = [quality.Reference("customer_id", customers, "customer_id")]
+
+    def batch(customer):
+        return spark.createDataFrame([(1011, customer, date(2024, 9, 1), "Pending", D("1598.00"))], schemas.SHOP["orders"])
+    with pytest.raises(layers.OrphanError):
+        layers.append_checked(batch(999), name, "order_id", owner)
+    assert tables.read_table(spark, name).count() == 10
+    for _ in range(2):
+        layers.append_checked(batch(102), name, "order_id", owner)
+    assert tables.read_table(spark, name).count() == 11
+    tables.drop_table(spark, name)
