@@ -12,6 +12,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -136,6 +137,12 @@ class Encoder:
         return [h if c is None else h + b"".join([known[x] for x in c[1]]) for h, c in zip(heads, cut)]
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> Encoder:
+    """One encoder for all tasks a Python worker runs; what it remembers only saves time."""
+    return Encoder(path)
+
+
 COLUMNS = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
            "ids array<int>")
 
@@ -155,7 +162,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 1024, with_ids: bool = T
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         task, used = TaskContext.get().partitionId() << TASK_SHIFT, 0
 
         def rows(pieces: list[tuple], sequence, offset) -> pa.RecordBatch:
