@@ -8,6 +8,7 @@ many pieces it has; windows of different tasks are never shared.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -23,7 +24,6 @@ from shelfmark.llm.common import small_batches
 
 SEPARATOR = 0
 PIECES_AT_ONCE = 200_000
-CACHED_CHUNKS = 700_000
 TASK_SHIFT = 40  # a window's id is its task's number above these bits, and a count below
 
 
@@ -84,15 +84,26 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return window, offset, opened
 
 
+def byte_tokens(vocabulary: dict[str, int]) -> dict[bytes, int]:
+    """A byte-level vocabulary keyed by bytes. Its tokens spell printable Latin-1 bytes as themselves and the others, in
+    order, as the characters from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+    return {bytes(byte[c] for c in token): i for token, i in vocabulary.items()}
+
+
 class Encoder:
-    """Token ids of a text as little-endian 32-bit bytes.
+    """Token ids of a text as little-endian 32-bit bytes, as the `tokenizers` library gives them for a tokenizer file.
 
-    A byte-level BPE first cuts a text into pre-tokens, and a single blank between two non-blanks always
-    starts one. Such a text is therefore cut at its blanks, and the ids of each stretch are remembered.
-    Texts with any other white space beside a blank, or holding a special token, are encoded in one go.
+    If the file holds a plain byte-level BPE whose ids follow the order of its merges, the same vocabulary also runs in
+    `tiktoken`, four times as fast. It takes the texts in characters both libraries' tables agree on; any other
+    text, and one that spells a special token, goes to `tokenizers`.
     """
 
-    ODD = re.compile(r"[^\S \n]| \n|\n |  ")
+    # Fixed value: how a byte-level BPE of this kind cuts a text before merging.
+    PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    UNSURE = re.compile("[^\x00-\u024f\u2010-\u2027\u20ac]")
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -100,46 +111,34 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {"": self._plain([" "])[0]}
-        vocabulary = self.tokenizer.get_vocab()
-        self.blank = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a blank
-        self.blank[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode many chunks as one text; each starts with the only blank in it, which shows in its first token."""
-        for at in range(0, len(chunks), 1000):
-            part = chunks[at:at + 1000]
-            ids = self._plain(["".join([f" {c}" for c in part])])[0]
-            starts = np.flatnonzero(self.blank[np.frombuffer(ids, "<u4")]) * 4
-            ends = np.append(starts[1:], len(ids))
-            self.known.update(zip(part, [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist())], strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHED_CHUNKS:
-            self.known = {"": self.known[""]}
-        known, cut, missing = self.known, [], {}
-        for text in texts:
-            if not text or self.ODD.search(text) or any(s in text for s in self.special):
-                cut.append(None)
-                continue
-            first, *rest = text.split(" ")
-            cut.append((first, rest))
-            for chunk in rest:
-                if chunk not in known:
-                    missing[chunk] = None
-        if missing:
-            self._learn(list(missing))
-        heads = self._plain([t if c is None else c[0] for t, c in zip(texts, cut)])
-        return [h if c is None else h + b"".join([known[x] for x in c[1]]) for h, c in zip(heads, cut)]
+        self.fast = self._fast(json.loads(self.tokenizer.to_str()))
+
+    def _fast(self, parts: dict):
+        model, cut = parts["model"], parts["pre_tokenizer"] or {}
+        if (model["type"] != "BPE" or parts["normalizer"] or model.get("ignore_merges") or model.get("dropout")
+                or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex")):
+            return None
+        vocabulary = {t: i for t, i in model["vocab"].items() if t not in self.special}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        if any(vocabulary[a + b] != 256 + i for i, (a, b) in enumerate(merges)):
+            return None
+        import tiktoken
+
+        return tiktoken.Encoding("same", pat_str=self.PATTERN, mergeable_ranks=byte_tokens(vocabulary), special_tokens={})
+
+    def plain(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(self, text: str) -> bytes:
+        if (self.fast is None or any(s in text for s in self.special)
+                or not text.isascii() and self.UNSURE.search(text)):
+            return self.plain(text)
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
 
 @lru_cache(maxsize=1)
 def worker_encoder(path: str) -> Encoder:
-    """One encoder for all tasks a Python worker runs; what it remembers only saves time."""
+    """One encoder for all tasks that a Python worker runs."""
     return Encoder(path)
 
 
@@ -184,9 +183,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 1024, with_ids: bool = T
         held = 0  # bytes of ids kept for the remainders
         for batch in small_batches(batches, 256):
             full: list[tuple] = []
-            encoded = encoder.encode([x or "" for x in batch.column(1).to_pylist()])
-            for doc, ids in zip(batch.column(0).to_pylist(), encoded):
-                ids += SEPARATOR.to_bytes(4, "little")
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = encoder.encode(text or "") + SEPARATOR.to_bytes(4, "little")
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     part = ids[4 * start:4 * (start + window)]

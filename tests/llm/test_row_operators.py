@@ -191,9 +191,9 @@ def test_best_fit_decreasing_takes_the_tightest_window():
 def test_encoder_on_white_space_and_special_tokens():
     encoder = packing.Encoder(queries.tokenizer_path())
     texts = ["a  b", " x", "x ", "a\n b", "a \nb", "ab c d", "x\ty z", "it's a <|endoftext|> b", "a\n\nb c\n", "\u00e9 \u00b2 12 '' \u3000 k", "", "a 'll b", "a \u00a0b", "  "]
-    for text in texts:
-        assert encoder.encode([text]) == encoder._plain([text])
-    assert encoder.encode(texts) == encoder._plain(texts)
+    assert encoder.fast is not None
+    for text in [*texts, "x" * 3000, "\U0001f600 ok", "caf\u00e9 \u4e2d\u6587 1\u00bd"]:
+        assert encoder.encode(text) == encoder.plain(text)
 
 
 def test_packing_of_awkward_rows(spark, awkward, nothing):
