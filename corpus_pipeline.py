@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import packing, quality, queries, secrets
-from shelfmark.llm.common import stored
-from shelfmark.session import tune
+from shelfmark.llm.common import ready, stored
 
 WINDOW = 1024
 
@@ -49,7 +48,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = ready(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

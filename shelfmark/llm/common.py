@@ -7,15 +7,16 @@ bytes Arrow delivers and never decode a text only to cut it up.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.session import fresh_path
+from shelfmark.session import fresh_path, tune
 
 ROWS_AT_ONCE = 512
 CACHE_ENTRIES = 400_000
@@ -81,6 +82,16 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -
             yield batch.slice(at, rows)
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings, and with the folder the library was imported from on the path of new Python
+    workers (where the library is installed on the cluster, this changes nothing)."""
+    context, root = spark.sparkContext, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in context.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        context.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return tune(spark)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as Parquet to a new path in the shared folder and read it back: lineage is cut there, and
     later branches read only the columns they need."""

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import hilbert, packing, quality, secrets, urls
-from shelfmark.session import tune
+from shelfmark.llm import decontaminate, hilbert, minhash, packing, quality, secrets, toxicity, urls
+from shelfmark.llm.common import ready
 
 SHARDS = 24
 WINDOW = 1024
@@ -21,7 +21,15 @@ def tokenizer_path() -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op2_cnn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_minhash_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
 
 
 def op4_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +40,10 @@ def op5_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), WINDOW, with_ids=False)
 
@@ -45,8 +57,11 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_cnn_toxicity": op2_cnn_toxicity,
+    "op3_minhash_stars": op3_minhash_stars,
     "op4_trigram_secrets": op4_trigram_secrets,
     "op5_decision_list": op5_decision_list,
+    "op6_simhash_windows": op6_simhash_windows,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_shift_and_urls": op9_shift_and_urls,
     "op10_hilbert_shards": op10_hilbert_shards,
