@@ -43,8 +43,11 @@ class PlainWords(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_ENTRIES:
             self.clear()
-        bare = EDGE.sub("", word.decode("utf-8", "surrogatepass").lower())
-        value = self[word] = (xxhash.xxh3_64_intdigest(bare.encode("utf-8", "surrogatepass")) | 1) if bare else 0
+        if word.isalnum():  # ASCII letters and digits only
+            bare = word.lower()
+        else:
+            bare = EDGE.sub("", word.decode("utf-8", "surrogatepass").lower()).encode("utf-8", "surrogatepass")
+        value = self[word] = (xxhash.xxh3_64_intdigest(bare) | 1) if bare else 0
         return value
 
     def of(self, text: bytes) -> np.ndarray:
@@ -63,18 +66,23 @@ def shingles(words: np.ndarray) -> np.ndarray:
     return window_hashes(words, min(SHINGLE, len(words))) if len(words) else words
 
 
-def fingerprints(shingle: np.ndarray, count: int) -> np.ndarray:
-    """SimHash of every run of `count` shingles. A bit is set if more than half of the run's shingles set it.
+def counters(shingle: np.ndarray) -> np.ndarray:
+    """For every prefix of the shingles how many of them set each bit.
 
     The 64 bit counters of a prefix lie in eight 64-bit numbers, eight to each. Carries between them cancel in the
     difference of two prefixes as long as a run has fewer than 256 shingles; longer runs add up parts.
     """
-    n = len(shingle) - count + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
     lanes = np.unpackbits(np.ascontiguousarray(shingle).view(np.uint8).reshape(-1, 8), axis=1).view(np.uint64)
     prefix = np.zeros((len(shingle) + 1, 8), np.uint64)
     np.cumsum(lanes, axis=0, out=prefix[1:])
+    return prefix
+
+
+def fingerprints(prefix: np.ndarray, count: int) -> np.ndarray:
+    """SimHash of every run of `count` shingles, from their counters. A bit is set if more than half of the run sets it."""
+    n = len(prefix) - count
+    if n <= 0:
+        return np.empty(0, np.uint64)
     return np.concatenate([_signs(prefix, at, min(TILE, n - at), count) for at in range(0, n, TILE)])
 
 
@@ -133,7 +141,7 @@ class Benchmark:
         self.sizes = [self._size(words, members) for words, members in sorted(by_size.items())]
 
     def _size(self, words: int, members: list[int]) -> Size:
-        prints = np.array([fingerprints(shingles(self.items[k][1][:words]), self.run(words))[0] for k in members], np.uint64)
+        prints = np.array([fingerprints(counters(shingles(self.items[k][1][:words])), self.run(words))[0] for k in members], np.uint64)
         near = np.zeros((BLOCKS, 1 << BLOCK_BITS), bool)
         for b, row in enumerate(prints.view(np.uint16).reshape(-1, BLOCKS).T):
             for value in set(row.tolist()):
@@ -169,7 +177,7 @@ class Benchmark:
             for size in self.sizes:
                 width = min(SHINGLE, size.words)
                 if width not in single:
-                    single[width] = window_hashes(words, width)
+                    single[width] = counters(window_hashes(words, width))
                 prints = fingerprints(single[width], self.run(size.words))
                 whole = owner[:len(prints)] == owner[size.words - 1:size.words - 1 + len(prints)]
                 for at, item, distance in zip(*(x.tolist() for x in size.hits(prints))):

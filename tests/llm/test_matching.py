@@ -188,7 +188,7 @@ def test_fingerprints_match_a_plain_simhash():
     bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1)
     for count in (1, 2, 30, 255, 256, 600):
         want = [np.packbits(bits[i:i + count].sum(0) > count // 2).view(np.uint64)[0] for i in range(len(values) - count + 1)]
-        assert decontaminate.fingerprints(values, count).tolist() == [int(w) for w in want]
+        assert decontaminate.fingerprints(decontaminate.counters(values), count).tolist() == [int(w) for w in want]
 
 
 def test_edited_and_long_texts(spark):
