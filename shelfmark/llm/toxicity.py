@@ -33,7 +33,7 @@ BUCKETS = 1 << 19
 DIMENSION = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8
-PREFIX = 4
+PREFIX = 5
 LEAST_TEXTS = 8  # a word or prefix found in fewer texts of the sample has no embedding
 DROPPED = 0.3  # share of the words left out at random in each step of training
 EPOCHS = 4
