@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontaminate, hilbert, minhash, packing, quality, secrets, toxicity, urls
+from shelfmark.llm import decontaminate, hilbert, minhash, packing, quality, secrets, substrings, toxicity, urls
 from shelfmark.llm.common import ready
 
 SHARDS = 24
@@ -48,6 +48,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), WINDOW, with_ids=False)
 
 
+def op8_suffix_tree_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op9_shift_and_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_table(spark, sf_dir, "pages"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op5_decision_list": op5_decision_list,
     "op6_simhash_windows": op6_simhash_windows,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_suffix_tree_repeats": op8_suffix_tree_repeats,
     "op9_shift_and_urls": op9_shift_and_urls,
     "op10_hilbert_shards": op10_hilbert_shards,
 }
