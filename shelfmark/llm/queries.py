@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfmark.llm import decontaminate, hilbert, minhash, packing, quality, secrets, substrings, toxicity, urls
+from shelfmark.llm import decontaminate, hilbert, minhash, packing, quality, revisits, secrets, substrings, toxicity, urls
 from shelfmark.llm.common import ready
 
 SHARDS = 24
@@ -24,6 +25,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolve_revisits(revisits.capture_log(_table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", revisits.header_lines(F.col("headers")))
+
+
 def op2_cnn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -61,6 +67,7 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_revisit_resolution": op1_revisit_resolution,
     "op2_cnn_toxicity": op2_cnn_toxicity,
     "op3_minhash_stars": op3_minhash_stars,
     "op4_trigram_secrets": op4_trigram_secrets,

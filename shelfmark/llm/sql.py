@@ -23,15 +23,46 @@ def _urls() -> str:
     verdict = "CASE rule " + " ".join(f"WHEN '{r.text}' THEN '{r.verdict}'" for r in rules)
     glob = "CASE " + " ".join(
         f"WHEN regexp_full_match(host || path, '{_glob_regex(g.pattern)}', 's') THEN '{g.pattern}'" for g in GLOBS) + " END"
-    by_glob = "CASE glob " + " ".join(f"WHEN '{g.pattern}' THEN '{g.verdict}'" for g in GLOBS) + " ELSE 'allow' END"
+    by_glob = "CASE \"glob\" " + " ".join(f"WHEN '{g.pattern}' THEN '{g.verdict}'" for g in GLOBS) + " ELSE 'allow' END"
     return f"""
         WITH a AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
         b AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
               'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
-        c AS (SELECT *, {rule} AS rule, {glob} AS glob FROM b)
-        SELECT page_id, host, path, rule, {verdict} ELSE {by_glob} END AS verdict, glob FROM c"""
+        c AS (SELECT *, {rule} AS rule, {glob} AS "glob" FROM b)
+        SELECT page_id, host, path, rule, {verdict} ELSE {by_glob} END AS verdict, "glob" FROM c"""
 
 
-_SPACE = r"[\x20\x09-\x0D]+"
+def _revisits() -> str:
+    fields = {
+        "cache-control": "'max-age=120'", "content-type": "'text/html'", "date": "CAST(v.t AS VARCHAR)",
+        "etag": "coalesce(v.etag, r.etag)", "last-modified": "coalesce(v.modified, r.modified)", "server": "'origin'",
+    }
+    lines = ", ".join(f"'{name}: ' || {value}" for name, value in fields.items())
+    tag = "'\"' || substr(digest, 1, 16) || '\"'"
+    return f"""
+        WITH a AS (SELECT page_id AS p, url, sha256(coalesce(html, '')) AS digest,
+            regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#.*$', '', 's') AS rest FROM pages),
+        b AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^www\\.', ''), ':(80|443)$', '') AS host,
+            regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+            list_sort([x FOR x IN string_split(regexp_extract(rest, '^[^?]*\\?(.*)$', 1, 's'), '&')
+                IF x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref)=')]) AS query FROM a),
+        c AS (SELECT *, host || path || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS canonical_url FROM b),
+        r AS (SELECT 2 * p AS id, canonical_url, 60 * p AS t, digest, CASE WHEN p % 4 <> 3 THEN {tag} END AS etag,
+            CASE WHEN p % 6 <> 5 THEN 'day-' || (p // 1440) END AS modified FROM c),
+        v AS (SELECT 2 * p + 1 AS id, canonical_url, 60 * p + 86400 * (p % 3 + 1) AS t,
+            CASE WHEN p % 10 = 7 THEN '"stale"' WHEN p % 10 < 7 THEN 'W/' || {tag} END AS etag,
+            CASE WHEN p % 7 < 4 THEN 'day-' || (p // 1440) WHEN p % 7 = 4 THEN 'day-x' END AS modified FROM c),
+        j AS (SELECT v.id AS record_id, v.canonical_url, v.t AS captured_at, r.id AS response_id, r.t AS response_at, r.digest,
+            CASE WHEN r.id IS NULL THEN 'no_response'
+                WHEN v.etag IS NOT NULL AND r.etag IS NOT NULL THEN
+                    CASE WHEN regexp_replace(v.etag, '^W/', '') = r.etag THEN 'resolved' ELSE 'etag_mismatch' END
+                WHEN v.modified IS NOT NULL AND r.modified IS NOT NULL THEN
+                    CASE WHEN v.modified = r.modified THEN 'resolved' ELSE 'modified' END
+                ELSE 'unverifiable' END AS status,
+            concat_ws(chr(10), {lines}) AS lines
+            FROM v ASOF LEFT JOIN r ON v.canonical_url = r.canonical_url AND v.t > r.t)
+        SELECT record_id, canonical_url, captured_at, response_id, response_at, status,
+            CASE WHEN status = 'resolved' THEN digest END AS digest, CASE WHEN status = 'resolved' THEN lines END AS headers FROM j"""
+
 
-STATEMENTS = {"op9_shift_and_urls": _urls()}
+STATEMENTS = {"op1_revisit_resolution": _revisits(), "op9_shift_and_urls": _urls()}
