@@ -4,10 +4,12 @@ One hash of every shingle falls into one of many bins, and the smallest of each
 value of a bin drawn for it by a hash of its own (optimal densification). Bins are joined into bands. Texts with equal
 shingle sets are one class, and only class representatives enter the buckets.
 
-In a bucket each member is compared with a few centers, not with all others, and a candidate becomes a link after its full
-shingle sets have been compared. Where that leaves a bucket in several components, further members become centers, twice as
-many each round, until all members of every bucket are linked or have been compared. So no link between two members
-of a bucket is lost, and the pairs stay few wherever the members are alike.
+In a bucket the members are compared with its center, not with each other, and a candidate becomes a link after the full
+shingle sets have been compared. The center is the member that meets most others in all its buckets: of a group of near copies
+one of the least changed. Where a star leaves a bucket in several components, further members become centers, twice as
+many each round, for ROUNDS rounds. Buckets of up to 2^ROUNDS members are thereby compared in full; in a larger one the pairs
+stay in proportion to its members. Two texts alike that are unlike all centers of one large bucket meet in others: what they
+share against the centers sets them apart in about half of their common bands, and there they are among themselves.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ PERCENT = 80
 BANDS = 40
 ROWS = 6
 BINS = BANDS * ROWS
+ROUNDS = 3
 SETS_HELD = 32
 
 
@@ -153,8 +156,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     classes = stored(named.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep")), "classes")
     reps = named.join(classes.select("set_a", "set_b", F.col("rep").alias("doc_id")), ["set_a", "set_b", "doc_id"])
     rows = reps.select("doc_id", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    members = stored(rows.join(shared.select("bucket"), "bucket", "left_semi"), "members")
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("met")).where("met > 1")
+    members = stored(rows.join(shared, "bucket"), "members")
+    score = members.groupBy("doc_id").agg(F.sum("met").alias("score"))
+    members = stored(members.select("bucket", "doc_id").join(score, "doc_id"), "scored")
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     texts = stored(texts.join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
 
@@ -162,11 +167,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     links = spark.createDataFrame([], "a long, b long")
     tested = spark.createDataFrame([], "a long, b long")
     where = spark.createDataFrame([], "node long, component long")
-    centers, active = 1, members
-    while True:
+    active = members
+    for centers in (1 << k for k in range(ROUNDS)):
         # Buckets in one component are finished; in the others the next centers are compared with all that are left.
         placed = active.join(where, F.col("doc_id") == F.col("node"), "left").select(
-            "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+            "bucket", "doc_id", "score", F.coalesce("component", "doc_id").alias("component"))
         open_buckets = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
         active = stored(placed.join(open_buckets, "bucket", "left_semi"), "active")
         if active.isEmpty():
@@ -179,9 +184,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         links = links.unionAll(stored(verified(pairs, texts, width, percent), "links"))
         where = components(links)
         # Every member has been compared with these centers now, so they leave the bucket.
-        active = active.select("bucket", "doc_id").join(
+        active = active.select("bucket", "doc_id", "score").join(
             chosen.select("bucket", F.col("center").alias("doc_id")), ["bucket", "doc_id"], "left_anti")
-        centers *= 2
     found = classes.join(where, F.col("rep") == F.col("node"), "left").select(
         "set_a", "set_b", F.coalesce("component", "rep").alias("component"))
     # Rows that share a doc_id through different texts meet in one node.
@@ -192,11 +196,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 
 
 def _centers(active: DataFrame, count: int) -> DataFrame:
-    """The `count` smallest members of every bucket, with their components. One is found by an aggregate that combines before
-    the shuffle; more are wanted only in the few buckets that are still open after the first round."""
+    """The `count` members of highest score of every bucket, with their components. One is found by an aggregate that combines
+    before the shuffle; more are wanted only in the few buckets that are still open after the first round."""
+    rank = F.struct("score", (-F.col("doc_id")).alias("low"), "component")
     if count == 1:
-        return active.groupBy("bucket").agg(F.min(F.struct("doc_id", "component")).alias("m")).select(
-            "bucket", F.col("m.doc_id").alias("center"), F.col("m.component").alias("its"))
-    order = W.partitionBy("bucket").orderBy("doc_id")
-    return active.withColumn("n", F.row_number().over(order)).where(F.col("n") <= count).select(
-        "bucket", F.col("doc_id").alias("center"), F.col("component").alias("its"))
+        top = active.groupBy("bucket").agg(F.max(rank).alias("m"))
+    else:
+        order = W.partitionBy("bucket").orderBy(F.desc("score"), "doc_id")
+        top = active.withColumn("n", F.row_number().over(order)).where(F.col("n") <= count).select("bucket", rank.alias("m"))
+    return top.select("bucket", (-F.col("m.low")).alias("center"), F.col("m.component").alias("its"))
