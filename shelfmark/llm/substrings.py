@@ -27,9 +27,11 @@ from shelfmark.llm.common import Hashes, as_bytes, small_batches, window_hashes
 WINDOW = 20
 PREFIX = 4  # words that deal a suffix first
 BUCKET_BITS = 16
+SETTLED_GROUPS = 4096  # rows of settled leaves are spread over so many groups
 GROUP_SUFFIXES = 1_000_000
 BLOCK_ROWS = 2048
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 600_000
+PATH_BYTES = 7  # of the 64-bit path; in a group of a million, two paths agree by chance with odds of 1 in 100,000
 
 
 @lru_cache(maxsize=1)
@@ -121,8 +123,7 @@ def prefix_groups(docs: DataFrame, window: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def repeated_starts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, places): the word positions at which a window starts that also starts earlier. A document has a row for
-    every group or block that found some."""
+    """(doc_id, first, last): stretches of word positions at which a window starts that also starts earlier."""
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     start, parts, _ = prefix_groups(slim, window)
 
@@ -133,69 +134,79 @@ def repeated_starts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 continue
             settled = repeated(doc, place, path)
             group = start[bucket] + (path % parts[bucket].astype(np.uint64)).astype(np.int64)
-            # Settled leaves travel with the others, in a column of their own.
-            order = np.lexsort((place, doc, settled, group))
-            key = group[order] * 2 + settled[order]
+            # Settled leaves travel in a row of their own, under a group number of their own.
+            group[settled] = -1 - int(ids[0]) % SETTLED_GROUPS
+            order = np.lexsort((place, doc, group))
+            key = group[order]
             cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])).tolist() + [len(key)]
-            rows = [(int(key[a] >> 1), bool(key[a] & 1), order[a:b]) for a, b in zip(cuts, cuts[1:])]
+            rows = [(int(key[a]), order[a:b]) for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays([
-                pa.array([g for g, _, _ in rows], pa.int64()),
-                pa.array([s for _, s, _ in rows], pa.bool_()),
-                pa.array([_packed_docs(doc[i]) for _, _, i in rows], pa.binary()),
-                pa.array([_packed(place[i].astype(np.uint32)) for _, _, i in rows], pa.binary()),
-                pa.array([b"" if s else path[i].tobytes() for _, s, i in rows], pa.binary()),
-            ], names=["group", "settled", "docs", "places", "paths"])
-
-    def subtree(table: pa.Table) -> pa.Table:
-        doc = [_unpacked_docs(x) for x in table["docs"].to_pylist()]
-        place = [_unpacked(x).astype(np.int64) for x in table["places"].to_pylist()]
-        settled = table["settled"].to_pylist()
-        open_rows = [i for i, s in enumerate(settled) if not s]
-        found_doc = [doc[i] for i, s in enumerate(settled) if s]
-        found_place = [place[i] for i, s in enumerate(settled) if s]
-        if open_rows:
-            d, q = np.concatenate([doc[i] for i in open_rows]), np.concatenate([place[i] for i in open_rows])
-            paths = table["paths"].to_pylist()
-            later = repeated(d, q, np.frombuffer(b"".join([paths[i] for i in open_rows]), np.uint64))
-            found_doc.append(d[later])
-            found_place.append(q[later])
-        d, q = np.concatenate(found_doc), np.concatenate(found_place)
-        order = np.lexsort((q, d))
-        d, q = d[order], q[order]
-        cuts = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]])) if len(d) else np.empty(0, np.int64)
-        places = pa.ListArray.from_arrays(pa.array(np.append(cuts, len(d)).astype(np.int32)), pa.array(q.astype(np.int32)))
-        return pa.table([pa.array(d[cuts] if len(d) else d), places], names=["doc_id", "places"])
-
-    dealt = slim.mapInArrow(deal, "group long, settled boolean, docs binary, places binary, paths binary")
-    return dealt.groupBy("group").applyInArrow(subtree, "doc_id long, places array<int>")
-
-
-def _packed(values: np.ndarray) -> bytes:
-    """32-bit numbers with their bytes laid out by significance, which compresses well."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 4).T).tobytes()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
-
-
-def _packed_docs(doc: np.ndarray) -> bytes:
-    """Sorted documents as (id, count) pairs."""
+                pa.array([g for g, _ in rows], pa.int64()),
+                pa.array([pack_places(doc[i], place[i]) for _, i in rows], pa.binary()),
+                pa.array([b"" if g < 0 else planes(path[i])[:PATH_BYTES * len(i)] for g, i in rows], pa.binary()),
+            ], names=["group", "places", "paths"])
+
+    def subtree(key: tuple, table: pa.Table) -> pa.Table:
+        parts = [unpack_places(x) for x in table["places"].to_pylist()]
+        doc, place = (np.concatenate(x) for x in zip(*parts))
+        if key[0].as_py() >= 0:
+            path = np.concatenate([from_planes(x, PATH_BYTES) for x in table["paths"].to_pylist()])
+            later = repeated(doc, place, path)
+            doc, place = doc[later], place[later]
+        first, last = stretches(doc, place)
+        return pa.table([pa.array(doc[first]), pa.array(place[first].astype(np.int32)), pa.array(place[last].astype(np.int32))],
+                        names=["doc_id", "first", "last"])
+
+    dealt = slim.mapInArrow(deal, "group long, places binary, paths binary")
+    return dealt.groupBy("group").applyInArrow(subtree, "doc_id long, first int, last int")
+
+
+def stretches(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of the first and last of each run of adjacent places, of leaves in order of document and place."""
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (place[1:] - place[:-1] > 1)
+    first = np.flatnonzero(new)
+    return first, np.append(first[1:], len(doc))[:len(first)] - 1
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Numbers with their bytes laid out by significance, the highest plane first; small numbers then compress well."""
+    size = values.dtype.itemsize
+    return np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, size)[:, ::-1].T).tobytes()
+
+
+def from_planes(data: bytes, size: int = 8) -> np.ndarray:
+    """The numbers of `planes`, of which the `size` highest bytes were kept."""
+    found = np.frombuffer(data, np.uint8).reshape(size, -1)
+    wide = np.zeros((found.shape[1], 8), np.uint8)
+    wide[:, 8 - size:] = found[::-1].T
+    return wide.view(np.uint64).ravel()
+
+
+def pack_places(doc: np.ndarray, place: np.ndarray) -> bytes:
+    """Leaves in order of document and place: each document with its number of leaves, then each place as the distance from the
+    one before in its document."""
     cuts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-    return np.stack([doc[cuts], np.diff(np.append(cuts, len(doc)))], axis=1).astype(np.int64).tobytes()
+    step = np.diff(place, prepend=0)
+    step[cuts] = place[cuts]
+    count = np.diff(np.append(cuts, len(doc)))
+    return len(cuts).to_bytes(8, "little") + planes(doc[cuts].view(np.uint64)) + planes(count.astype(np.uint64)) + planes(step.astype(np.uint64))
 
 
-def _unpacked_docs(data: bytes) -> np.ndarray:
-    pairs = np.frombuffer(data, np.int64).reshape(-1, 2)
-    return np.repeat(pairs[:, 0], pairs[:, 1])
+def unpack_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[:8], "little")
+    docs, count = (from_planes(data[8 + 8 * n * k:8 + 8 * n * (k + 1)]).view(np.int64) for k in range(2))
+    total = np.cumsum(from_planes(data[8 + 16 * n:]).view(np.int64))
+    start = np.cumsum(count) - count
+    before = np.concatenate([[0], total])[start]
+    return np.repeat(docs, count), total - np.repeat(before, count)
 
 
-def covered(places: np.ndarray, window: int, n: int) -> np.ndarray:
-    """Which of n words lie in a window that starts at one of the places."""
+def covered(first: np.ndarray, last: np.ndarray, window: int, n: int) -> np.ndarray:
+    """Which of n words lie in a window that starts in one of the stretches."""
     edge = np.zeros(n + 1, np.int64)
-    places = np.unique(places[places <= n - window]) if len(places) else places
-    np.add.at(edge, places, 1)
-    np.add.at(edge, places + window, -1)
+    np.add.at(edge, np.minimum(first, n), 1)
+    np.add.at(edge, np.minimum(last + window, n), -1)
     return np.cumsum(edge[:-1]) > 0
 
 
@@ -209,7 +220,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = True
     and where their texts differ a place removed in one is removed in all. Other columns are ignored.
     """
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    starts = repeated_starts(slim, window).groupBy(F.col("doc_id").alias("of")).agg(F.flatten(F.collect_list("places")).alias("places"))
+    starts = repeated_starts(slim, window).groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("first", "last")).alias("places"))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,9 +228,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = True
             rows = []
             for text, places in zip(as_bytes(batch.column(1)), batch.column(2)):
                 words = text.split()
-                found = places.values.to_numpy() if places.is_valid else np.empty(0, np.int64)
-                gone = covered(found.astype(np.int64), window, len(words))
-                kept = b" ".join([w for w, x in zip(words, gone.tolist()) if not x]) if len(found) else b" ".join(words)
+                gone = np.zeros(len(words), bool)
+                if places.is_valid:
+                    first, last = (x.to_numpy().astype(np.int64) for x in places.values.flatten())
+                    gone = covered(first, last, window, len(words))
+                kept = b" ".join([w for w, x in zip(words, gone.tolist()) if not x]) if gone.any() else b" ".join(words)
                 rows.append((len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "surrogatepass") if with_text else None))
             n, removed, digest, kept = zip(*rows) if rows else ((), (), (), ())
             arrays = [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string())]
