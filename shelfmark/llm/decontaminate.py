@@ -29,7 +29,7 @@ SIMILARITY = 0.8
 BLOCKS = 4
 BLOCK_BITS = 16
 RADIUS = 11
-SIZE_STEP = 8  # windows are at most an eighth shorter than their item
+SIZE_STEP = 5  # windows are at most a fifth shorter than their item
 ITEM_WORDS_AT_ONCE = 200_000
 SEGMENT_WORDS = 100_000
 TILE = 4096
