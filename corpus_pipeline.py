@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import packing, quality, queries, secrets
+from shelfmark.llm import decontaminate, minhash, packing, quality, queries, secrets
 from shelfmark.llm.common import ready, stored
 
 WINDOW = 1024
@@ -27,6 +27,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _kept(docs, judged.where("kept").select("doc_id"))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest doc_id of each group of near duplicates (five-word shingles, similarity 0.8 or more)."""
+    return _kept(docs, minhash.near_duplicates(docs).where("kept").select("doc_id"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    leaking = decontaminate.leaking_ids(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = leaking.select(F.col("doc_id").alias("__id"))
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["__id"]), "left_anti")
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets replaced by a mark."""
     return secrets.redact(docs)
@@ -39,6 +51,8 @@ def packed_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("near dedup", near_dedup),
+    ("decontamination", decontamination),
     ("secret scans", secret_scan),
     ("packing", packed_windows),
 ]
