@@ -193,6 +193,9 @@ VIEWS: dict[str, str] = {
         SELECT order_id, CASE WHEN order_date >= DATE '2001-01-01' THEN 'INCR-2001-' ELSE 'ORD-' END || order_id
                    AS order_code, customer_id, order_date, status, CAST(total_amount + 1 AS DECIMAL(12,2)) AS total_amount
         FROM fx_orders WHERE order_date >= DATE '2000-10-01'""",
+    "fx_coded": """
+        SELECT order_id, CASE WHEN order_date >= DATE '2001-01-01' THEN 'INCR-2001-' ELSE 'ORD-' END || order_id
+                   AS order_code, customer_id, order_date, status, total_amount FROM fx_orders""",
     "fx_merged": """
         SELECT t.* FROM fx_target t ANTI JOIN fx_source s USING (order_id) UNION ALL SELECT * FROM fx_source""",
     # Shared results of jobs.
@@ -387,7 +390,7 @@ QUERIES: dict[str, str] = {
     "filter_year_range": f"SELECT {CLEAN_ORDER} FROM fx_orders WHERE year(order_date) = 1997",
     "filter_high_discount": f"""SELECT row_id, product_name, {_double("sales")}, {_double("discount")},
         {money("profit")} AS profit FROM fx_flat WHERE discount >= 0.08""",
-    "filter_prefix": f"SELECT {CODED_ORDER} FROM fx_source WHERE order_code LIKE 'INCR-2001%'",
+    "filter_prefix": f"SELECT {CODED_ORDER} FROM fx_coded WHERE order_code LIKE 'INCR-2001%'",
     "price_tiers": f"""SELECT product_id, product_name, {_double("unit_price")},
         CASE WHEN unit_price < 1000 THEN 'Budget' WHEN unit_price <= 3000 THEN 'Mid-Range' ELSE 'Premium' END
             AS price_tier FROM fx_products""",
@@ -396,11 +399,11 @@ QUERIES: dict[str, str] = {
     "join_order_customer": f"""SELECT order_id, {_iso("order_date")}, customer_name, {_double("total_amount")}
         FROM fx_orders JOIN fx_customers USING (customer_id)""",
     "join_left_customers": f"""SELECT c.customer_id, customer_name, order_id, {_iso("order_date")},
-        {_double("total_amount")} FROM fx_customers c LEFT JOIN fx_source s ON s.customer_id = c.customer_id""",
+        {_double("total_amount")} FROM fx_customers c LEFT JOIN fx_orders s ON s.customer_id = c.customer_id""",
     "join_right_orders": """SELECT customer_name, order_id
         FROM fx_customers c RIGHT JOIN fx_orders o ON o.customer_id = c.customer_id""",
     "join_full": """SELECT COALESCE(c.customer_id, s.customer_id) AS customer_id, customer_name, order_id
-        FROM fx_customers c FULL JOIN fx_source s ON s.customer_id = c.customer_id""",
+        FROM fx_customers c FULL JOIN fx_orders s ON s.customer_id = c.customer_id""",
     "join_three_way": f"""SELECT item_id, o.order_id, product_name, quantity, {_double("i.unit_price")},
         {_double("discount_percent")} FROM fx_orders o JOIN fx_items i USING (order_id)
         JOIN fx_products p USING (product_id)""",
@@ -415,6 +418,14 @@ QUERIES: dict[str, str] = {
     "top_order_per_customer": f"""SELECT f.customer_id, row_id, order_id, {_double("sales")} FROM fx_flat f
         JOIN (SELECT customer_id, MAX(sales) AS best FROM fx_flat GROUP BY customer_id) m
         ON m.customer_id = f.customer_id AND m.best = f.sales""",
+    "top_order_per_customer_10": f"""SELECT customer_id, row_id, order_id, {_double("sales")} FROM (
+        SELECT *, max(sales) OVER (PARTITION BY customer_id) AS best FROM fx_flat)
+        WHERE sales = best ORDER BY sales DESC, row_id LIMIT 10""",
+    "orders_above_average_10": f"""SELECT row_id, order_id, customer_id, product_id, {_double("sales")} FROM fx_flat
+        WHERE sales * (SELECT COUNT(sales) FROM fx_flat) > (SELECT SUM(sales) FROM fx_flat)
+        ORDER BY fx_flat.sales DESC, row_id LIMIT 10""",
+    "customer_totals_10": f"""SELECT customer_id, customer_name, {money("sales")} AS total_sales,
+        {money("profit")} AS total_profit, order_count FROM buyer ORDER BY ROUND(sales, 2) DESC, customer_id LIMIT 10""",
     "customers_never_delivered": """SELECT customer_id, customer_name, COUNT(*) AS order_count
         FROM fx_customers JOIN fx_orders USING (customer_id)
         WHERE customer_id NOT IN (SELECT customer_id FROM fx_orders WHERE status = 'DELIVERED' AND customer_id IS NOT NULL)
@@ -522,7 +533,7 @@ QUERIES: dict[str, str] = {
     "top_customers_ranked": f"""SELECT customer_id, customer_name, region, {money("sales")} AS total_sales, rank_no
         FROM (SELECT *, CAST(rank() OVER (ORDER BY sales DESC) AS INTEGER) AS rank_no FROM buyer) WHERE rank_no <= 10""",
     "bottom_customers_ranked": f"""SELECT customer_id, customer_name, {money("sales")} AS total_sales, low_rank
-        FROM (SELECT *, CAST(rank() OVER (ORDER BY sales) AS INTEGER) AS low_rank FROM buyer) WHERE low_rank <= 10""",
+        FROM (SELECT *, CAST(rank() OVER (ORDER BY sales NULLS FIRST) AS INTEGER) AS low_rank FROM buyer) WHERE low_rank <= 10""",
     "customer_overall_rank": f"""SELECT customer_id, customer_name, segment, region, {money("sales")} AS total_sales,
         {money("profit")} AS total_profit, CAST(rank() OVER (ORDER BY sales DESC) AS INTEGER) AS overall_rank FROM buyer
         ORDER BY sales DESC, customer_id LIMIT 20""",
@@ -654,7 +665,7 @@ QUERIES: dict[str, str] = {
     "referential_violations": """SELECT 'orders_without_customer' AS "check", COUNT(*) AS violations FROM fx_orders o
         WHERE NOT EXISTS (SELECT 1 FROM fx_customers c WHERE c.customer_id = o.customer_id)
         UNION ALL SELECT 'items_without_product', COUNT(*) FROM fx_items_dirty i
-        WHERE NOT EXISTS (SELECT 1 FROM fx_products p WHERE p.product_id = i.product_id AND p.cost_price < 980)
+        WHERE NOT EXISTS (SELECT 1 FROM fx_products p WHERE p.product_id = i.product_id)
         UNION ALL SELECT 'items_without_order', COUNT(*) FROM fx_items_dirty i
         WHERE NOT EXISTS (SELECT 1 FROM fx_orders o WHERE o.order_id = i.order_id)""",
     "constraint_report": " UNION ALL ".join((

@@ -134,7 +134,7 @@ def _referential_violations(v: Views) -> DataFrame:
     ref = quality.Reference
     return quality.referential_violations({
         "orders_without_customer": (v.orders(), ref("customer_id", v.customers(), "customer_id")),
-        "items_without_product": (v.items_dirty(), ref("product_id", v.products().filter("cost_price < 980"), "product_id")),
+        "items_without_product": (v.items_dirty(), ref("product_id", v.products(), "product_id")),
         "items_without_order": (v.items_dirty(), ref("order_id", v.orders(), "order_id")),
     })
 
@@ -183,19 +183,22 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "filter_date_range": lambda v: shop.placed_between(v.orders(), date(1998, 8, 10), date(1998, 8, 25), "CANCELLED"),
     "filter_year_range": lambda v: shop.placed_in_year(v.orders(), 1997),
     "filter_high_discount": lambda v: sales.high_discount_lines(v.flat(), 0.08),
-    "filter_prefix": lambda v: shop.with_prefix(v.upsert_source(), "order_code", "INCR-2001"),
+    "filter_prefix": lambda v: shop.with_prefix(v.coded_orders(), "order_code", "INCR-2001"),
     "price_tiers": lambda v: shop.price_tiers(v.products()),
     "line_facts": lambda v: facts.line_facts(v.items(), v.orders(), v.products()),
     "revenue_lines": lambda v: facts.revenue_lines(facts.line_facts(v.items(), v.orders(), v.products())),
     # 2.3 joins and subqueries
     "join_order_customer": lambda v: shop.orders_with_customer(v.orders(), v.customers()),
-    "join_left_customers": lambda v: shop.customers_with_orders(v.customers(), v.upsert_source()),
+    "join_left_customers": lambda v: shop.customers_with_orders(v.customers(), v.orders()),
     "join_right_orders": lambda v: shop.orders_with_any_customer(v.customers(), v.orders()),
-    "join_full": lambda v: shop.customers_and_orders(v.customers(), v.upsert_source()),
+    "join_full": lambda v: shop.customers_and_orders(v.customers(), v.orders()),
     "join_three_way": lambda v: shop.item_details(v.orders(), v.items(), v.products()),
     "orphan_orders": lambda v: joins.orphans(v.orders(), v.customers(), "customer_id"),
     "basket_pairs": lambda v: basket.basket_pairs(_rev(v)),
     "top_order_per_customer": lambda v: customers.top_order_per_customer(_lines(v)),
+    "top_order_per_customer_10": lambda v: customers.top_order_per_customer(_lines(v), 10),
+    "orders_above_average_10": lambda v: customers.orders_above_average(_lines(v), 10),
+    "customer_totals_10": lambda v: customers.customer_totals(*_split(v), 10),
     "customers_never_delivered": lambda v: customers.customers_never_delivered(v.customers(), v.orders()),
     "orders_above_average": lambda v: customers.orders_above_average(_lines(v)),
     "customers_above_average": lambda v: customers.customers_above_average(*_split(v)),

@@ -284,6 +284,11 @@ class Views:
         """Orders placed before 2001."""
         return self._coded(F.lit("ORD-")).filter(F.col("order_date") < F.lit("2001-01-01").cast("date"))
 
+    def coded_orders(self) -> DataFrame:
+        """All orders; those of 2001 carry the code of an increment."""
+        new = F.col("order_date") >= F.lit("2001-01-01").cast("date")
+        return self._coded(F.when(new, F.lit("INCR-2001-")).otherwise(F.lit("ORD-")))
+
     def upsert_source(self) -> DataFrame:
         """Orders from the last quarter of 2000 on, at a corrected price; those of 2001 are new."""
         day = F.col("order_date")

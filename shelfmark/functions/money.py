@@ -17,10 +17,10 @@ def total(value: Column, scale: int = 2) -> Column:
 def ratio(numerator: Column, denominator: Column, scale: int) -> Column:
     """numerator / denominator rounded to `scale`; NULL where the denominator is 0 or NULL.
 
-    For sums with up to six decimals and whole denominators; the quotient keeps 19 decimals, enough
-    to round half-way cases right.
+    For sums with up to six decimals and whole denominators, any BIGINT; the quotient keeps 16 decimals,
+    enough to round half-way cases right.
     """
-    quotient = F.try_divide(numerator.cast("decimal(24,6)"), denominator.cast("decimal(12,0)"))
+    quotient = F.try_divide(numerator.cast("decimal(28,6)"), denominator.cast("decimal(20,0)"))
     return F.round(quotient, scale)
 
 

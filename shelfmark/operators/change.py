@@ -35,18 +35,19 @@ def upsert_partitions(path: str, source: DataFrame, key: str, partition: str) ->
     """Upsert into a Parquet directory partitioned by `partition`, rewriting only the partitions the
     source touches.
 
-    The new rows of these partitions are staged in the shared folder first, so a failed run leaves
-    either the old table or a complete stage behind. A key must stay in its partition.
+    NULL is a partition like any other. A key must stay in its partition. The new rows are staged in the
+    shared folder before the table changes, so they are complete. Partitions are then replaced one by one: a run
+    that fails in between leaves some of them old, and running the same upsert again completes it.
     """
     spark = source.sparkSession
     target = spark.read.parquet(path)
-    # Partition values, not rows: no more than the table has directories.
-    touched = F.col(partition).isin([row[0] for row in source.select(partition).distinct().collect()])
-    elsewhere = target.filter(~touched).select(key).join(source.select(key), key, "left_semi")
+    parts = source.select(F.col(partition).alias("_touched")).distinct()
+    same = target[partition].eqNullSafe(parts["_touched"])
+    elsewhere = target.join(parts, same, "left_anti").select(key).join(source.select(key), key, "left_semi")
     if not elsewhere.isEmpty():
         raise MovedKeyError(f"the source moves values of {key} to another {partition}")
     stage = fresh_path(spark, "stage")
-    upsert(target.filter(touched), source, key).write.partitionBy(partition).parquet(stage)
+    upsert(target.join(parts, same, "left_semi"), source, key).write.partitionBy(partition).parquet(stage)
     staged = spark.read.schema(target.schema).parquet(stage)
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
     spark.catalog.refreshByPath(path)

@@ -88,11 +88,14 @@ def ntile(row_number: Column, row_count: Column, buckets: int) -> Column:
 def ranked_top(df: DataFrame, value: str, k: int, name: str, ascending: bool = False) -> DataFrame:
     """All rows whose RANK over `value` is at most `k`, ties kept, with the rank in `name`.
 
-    The k best values (k rows at most) settle both the cut and the ranks; the table itself is
-    only filtered against them. It is read twice, so it is written once first.
+    NULL is the lowest value: first when ascending, last otherwise. The k best values (k rows at most)
+    settle both the cut and the ranks; the table itself is only filtered against them.
     """
-    df = durable(df)
-    order = F.col(value).asc_nulls_last() if ascending else F.col(value).desc_nulls_last()
-    best = df.select(value).filter(F.col(value).isNotNull()).orderBy(order).limit(k)
-    ranks = best.select(value, F.rank().over(W.orderBy(order)).alias(name)).distinct()
-    return df.join(F.broadcast(ranks), value)
+    best = df.select(F.col(value).alias("_best")).orderBy(order_of("_best", ascending)).limit(k)
+    ranks = best.select("_best", F.rank().over(W.orderBy(order_of("_best", ascending))).alias(name)).distinct()
+    return df.join(ranks, F.col(value).eqNullSafe(F.col("_best"))).drop("_best")
+
+
+def order_of(value: str, ascending: bool) -> Column:
+    """The order of RANK: NULL counts as the lowest value."""
+    return F.col(value).asc_nulls_first() if ascending else F.col(value).desc_nulls_last()

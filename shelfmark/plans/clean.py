@@ -87,11 +87,11 @@ def clean_orders(orders: DataFrame, as_of: Column) -> DataFrame:
 
 def _whole(text: Column) -> Column:
     number = text.try_cast("decimal(18,4)")
-    return F.when(number == F.floor(number), number.cast("int"))
+    return F.when(number == F.floor(number), number.try_cast("int"))
 
 
 def typed_items(items: DataFrame) -> DataFrame:
-    """Item text as numbers; what does not parse becomes NULL."""
+    """Item text as numbers; what does not parse, or does not fit, becomes NULL."""
     return items.withColumns({
         "quantity": _whole(F.col("quantity")),
         "unit_price": F.col("unit_price").try_cast(MONEY),

@@ -23,19 +23,18 @@ QUARTILE_NAMES = ("Platinum", "Gold", "Silver", "Bronze")
 # Order lines of the split sales table ----------------------------------------------------------
 
 def orders_above_average(lines: DataFrame, k: int | None = None) -> DataFrame:
-    """Order lines above the mean sale, highest first."""
+    """Order lines above the mean sale; with `k` the k highest, by row_id where equal."""
     mean = lines.agg(F.sum("sales") / F.count("sales")).scalar()
     above = lines.filter(F.col("sales") > mean).select("row_id", "order_id", "customer_id", "product_id", "sales")
-    best_first = above.orderBy(F.col("sales").desc(), "row_id")
-    return best_first if k is None else best_first.limit(k)
+    return above if k is None else above.orderBy(F.col("sales").desc(), "row_id").limit(k)
 
 
 def top_order_per_customer(lines: DataFrame, k: int | None = None) -> DataFrame:
-    """The highest line of every customer, ties kept."""
+    """The highest line of every customer, ties kept; with `k` the k highest of them."""
     best = lines.groupBy("customer_id").agg(F.max("sales").alias("sales"))
     found = lines.select("customer_id", "row_id", "order_id", "sales").join(best, ["customer_id", "sales"])
-    ordered = found.select("customer_id", "row_id", "order_id", "sales").orderBy(F.col("sales").desc(), "row_id")
-    return ordered if k is None else ordered.limit(k)
+    found = found.select("customer_id", "row_id", "order_id", "sales")
+    return found if k is None else found.orderBy(F.col("sales").desc(), "row_id").limit(k)
 
 
 def _customer_sums(lines: DataFrame, customers: DataFrame, *attributes: str) -> DataFrame:
@@ -53,9 +52,9 @@ def _customer_orders(lines: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def customer_totals(lines: DataFrame, customers: DataFrame, k: int | None = None) -> DataFrame:
-    """Sales, profit and distinct orders per customer."""
-    ordered = _customer_orders(lines, customers).orderBy(F.col("total_sales").desc(), "customer_id")
-    return ordered if k is None else ordered.limit(k)
+    """Sales, profit and distinct orders per customer; with `k` the k customers of highest sales."""
+    totals = _customer_orders(lines, customers)
+    return totals if k is None else totals.orderBy(F.col("total_sales").desc(), "customer_id").limit(k)
 
 
 def single_order_customers(lines: DataFrame, customers: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ SUPERSTORE = _schema(
 
 SALES_SAMPLE = _schema(
     order_id=INT, order_date=TEXT, customer_name=TEXT, region=TEXT, category=TEXT, quantity=INT,
-    unit_price=DOUBLE, sales=DOUBLE, discount=DOUBLE, returned=TEXT, required=("order_id"),
+    unit_price=DOUBLE, sales=DOUBLE, discount=DOUBLE, returned=TEXT, required=("order_id",),
 )
 
 # E-commerce tables as they arrive (all text) and after cleaning.
@@ -94,16 +94,16 @@ LAKE = {
     ),
     "products": _schema(
         product_id=TEXT, product_name=TEXT, category=TEXT, cost_price=DecimalType(10, 2),
-        selling_price=DecimalType(10, 2), required=("product_id"),
+        selling_price=DecimalType(10, 2), required=("product_id",),
     ),
     "orders": _schema(
         order_id=TEXT, customer_id=TEXT, product_id=TEXT, quantity=INT, unit_price=DecimalType(10, 2),
         total_amount=DecimalType(10, 2), order_date=DATE, status=TEXT, payment_method=TEXT,
-        required=("order_id"),
+        required=("order_id",),
     ),
     "payments": _schema(
         payment_id=TEXT, order_id=TEXT, card_number=TEXT, cvv=TEXT, amount=DecimalType(10, 2),
-        payment_date=DATE, payment_status=TEXT, required=("payment_id"),
+        payment_date=DATE, payment_status=TEXT, required=("payment_id",),
     ),
 }
 

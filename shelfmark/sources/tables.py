@@ -6,6 +6,9 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfmark.operators.dedupe import dedupe_by_key
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None,
@@ -35,10 +38,12 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def append_new_rows(rows: DataFrame, name: str, key: str) -> None:
-    """Append the rows whose key the table does not hold yet; a second run adds nothing."""
+    """Append the rows whose key the table does not hold yet; a second run adds nothing. Of a key that the batch
+    repeats one row is taken, and rows without a key are refused, since they could never be found again."""
     spark = rows.sparkSession
     known = spark.table(name).select(key)
-    rows.join(known, key, "left_anti").select(*spark.table(name).columns).write.mode("append").insertInto(name)
+    batch = dedupe_by_key(rows.filter(F.col(key).isNotNull()), [key])
+    batch.join(known, key, "left_anti").select(*spark.table(name).columns).write.mode("append").insertInto(name)
 
 
 def replace_table(df: DataFrame, name: str, folder: str) -> None:
