@@ -18,11 +18,13 @@ from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from shelfmark.llm.common import CACHE_ENTRIES, as_bytes, small_batches, window_hashes
+from shelfmark.llm.common import CACHE_ENTRIES, ROWS_AT_ONCE, as_bytes, small_batches, window_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -270,6 +272,24 @@ def _search(docs: DataFrame, benchmark: Benchmark, schema: str) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def leaking_ids(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_ids (distinct) of documents that hold a benchmark item."""
-    return contaminated(docs, benchmark).select("doc_id").distinct()
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of `docs`, with all their columns, that hold no benchmark item. The texts are judged where they are read."""
+    for part in _parts(benchmark):
+        docs = docs.where(~_holds(docs, part))
+    return docs
+
+
+def _holds(docs: DataFrame, benchmark: Benchmark) -> Column:
+    sent = docs.sparkSession.sparkContext.broadcast(benchmark)
+
+    @F.pandas_udf("boolean")
+    def holds(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        plain = worker_words()
+        for part in parts:
+            found = np.zeros(len(part), bool)
+            for at in range(0, len(part), ROWS_AT_ONCE):
+                texts = [plain.of((t or "").encode("utf-8", "surrogatepass")) for t in part.iloc[at:at + ROWS_AT_ONCE]]
+                found[[at + d for d, *_ in sent.value.search(texts)]] = True
+            yield pd.Series(found, index=part.index)
+
+    return holds(docs["text"])

@@ -10,7 +10,7 @@ conditional expression.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -21,13 +21,13 @@ from shelfmark.llm.common import let, native_words, stored
 
 # Ratios the conditions may use. All are per word, per line or per character, so copies and lengths do not matter.
 FEATURES = {
-    "mean_word": "try_divide(word_chars, n_words)",
-    "symbols": "try_divide(n_symbols, n_words)",
-    "dup_lines": "try_divide(n_dup_lines, n_lines)",
-    "repeats": "try_divide(n_repeat_words, n_words)",
-    "capitals": "try_divide(n_upper, word_chars)",
-    "marks": "try_divide(n_marks, n_words)",
-    "digits": "try_divide(n_digits, word_chars)",
+    "mean_word": ("word_chars", "n_words"),
+    "symbols": ("n_symbols", "n_words"),
+    "dup_lines": ("n_dup_lines", "n_lines"),
+    "repeats": ("n_repeat_words", "n_words"),
+    "capitals": ("n_upper", "word_chars"),
+    "marks": ("n_marks", "n_words"),
+    "digits": ("n_digits", "word_chars"),
 }
 THRESHOLDS = 24
 MAX_RULES = 8
@@ -66,24 +66,36 @@ def repeated_words(words: Column) -> Column:
     return let(keys, lambda k: F.when(F.size(F.array_distinct(k)) == F.size(k), F.lit(0).cast("long")).otherwise(covered(k)))
 
 
+def _lines(text: Column) -> Column:
+    """The lines of a text that hold a word."""
+    return F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+
+
+def _counts(text: Column, words: Column, lines: Column) -> list[Column]:
+    """The statistics from a text, its words and its lines."""
+    return [
+        F.size(words).cast("long").alias("n_words"),
+        F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+        _count(text, "#*$%&|<>").alias("n_symbols"),
+        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+        repeated_words(words).alias("n_repeat_words"),
+        F.size(lines).cast("long").alias("n_lines"),
+        _count(text, "A-Z").alias("n_upper"),
+        _count(text, "!?").alias("n_marks"),
+        _count(text, "0-9").alias("n_digits"),
+    ]
+
+
+def _ratios(of: Callable[[str], Column] = F.col) -> list[Column]:
+    return [F.try_divide(of(a), of(b)).alias(f"f_{name}") for name, (a, b) in FEATURES.items()]
+
+
 def text_statistics(docs: DataFrame) -> DataFrame:
     """doc_id with the counts of its whole text; a null text has no words and zeros throughout. Further columns of
     `docs` are ignored; repeated rows and null doc_ids are kept."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    worded = docs.select("doc_id", text.alias("text"), native_words(F.col("text")).alias("words"), lines.alias("lines"))
-    return worded.select(
-        "doc_id",
-        F.size("words").cast("long").alias("n_words"),
-        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
-        _count(F.col("text"), "#*$%&|<>").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("words")).alias("n_repeat_words"),
-        F.size("lines").cast("long").alias("n_lines"),
-        _count(F.col("text"), "A-Z").alias("n_upper"),
-        _count(F.col("text"), "!?").alias("n_marks"),
-        _count(F.col("text"), "0-9").alias("n_digits"),
-    )
+    worded = docs.select("doc_id", text.alias("text"), native_words(F.col("text")).alias("words"), _lines(text).alias("lines"))
+    return worded.select("doc_id", *_counts(F.col("text"), F.col("words"), F.col("lines")))
 
 
 @dataclass(frozen=True)
@@ -92,21 +104,21 @@ class Condition:
     above: bool
     threshold: float
 
-    def column(self) -> Column:
+    def column(self, of: Callable[[str], Column] = F.col) -> Column:
         """Never null: a statistic without a value fulfils no condition."""
-        value = F.col(f"f_{self.feature}")
+        value = of(f"f_{self.feature}")
         return F.coalesce(value >= self.threshold if self.above else value < self.threshold, F.lit(False))
 
 
 Rule = tuple[Condition, ...]
 
 
-def covers(rule: Rule) -> Column:
-    return reduce(lambda a, b: a & b, (c.column() for c in rule), F.lit(True))
+def covers(rule: Rule, of: Callable[[str], Column] = F.col) -> Column:
+    return reduce(lambda a, b: a & b, (c.column(of) for c in rule), F.lit(True))
 
 
 def with_features(stats: DataFrame) -> DataFrame:
-    return stats.select("*", *(F.expr(c).alias(f"f_{name}") for name, c in FEATURES.items()))
+    return stats.select("*", *_ratios())
 
 
 def learn_rules(labelled: DataFrame) -> list[Rule]:
@@ -192,6 +204,37 @@ def decision(rules: Sequence[Rule]) -> Column:
     return reduce(lambda w, r: w.when(covers(r[1]), F.lit(r[0])), enumerate(rules[1:], 2), F.when(covers(rules[0]), F.lit(1)))
 
 
+def base_failed(of: Callable[[str], Column] = F.col) -> Column:
+    words, repeats = of("n_words"), of("n_repeat_words")
+    return (words < 50) | (100 * repeats > 50 * words)
+
+
+def rules_from(stats: DataFrame, labels: DataFrame) -> list[Rule]:
+    """The decision list for the labelled documents among `stats` that pass the base test."""
+    marked = labels.where("quality IN (0, 1)").select(F.col("doc_id").alias("labelled"), (1 - F.col("quality")).alias("reject"))
+    features = [f"f_{f}" for f in FEATURES]
+    return learn_rules(stored(stats.where(~base_failed()).join(marked, F.col("doc_id") == F.col("labelled"))
+                              .select("doc_id", F.col("reject").cast("int"), *features), "labelled"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of `docs` that `judge_quality` keeps, with all their columns.
+
+    The learned list filters the texts where they are read, so no text is shuffled. The whole verdict is one expression whose
+    steps are bound to each other; as columns of their own they would be copied into the pushed-down filter.
+    """
+    rules = rules_from(stored(with_features(text_statistics(docs)), "quality"), labels)
+    text = F.coalesce(F.col("text"), F.lit(""))
+
+    def good(n: Column) -> Column:
+        kept = let(F.struct(*_ratios(lambda name: n[name])), lambda f: reduce(
+            lambda a, b: a & b, (~covers(r, lambda name: f[name]) for r in rules), F.lit(True)))
+        return ~base_failed(lambda name: n[name]) & kept
+
+    return docs.where(let(native_words(F.col("text")), lambda words: let(
+        _lines(text), lambda lines: let(F.struct(*_counts(text, words, lines)), good))))
+
+
 def judge_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the base statistics, base_failed, kept, the number of the learned rule that rejects, and that rule.
 
@@ -201,11 +244,8 @@ def judge_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts have no words and fail. Repeated rows are judged each; an empty table gives no rows.
     """
     stats = stored(with_features(text_statistics(docs)), "quality")
-    marked = labels.where("quality IN (0, 1)").select(F.col("doc_id").alias("labelled"), (1 - F.col("quality")).alias("reject"))
-    features = [f"f_{f}" for f in FEATURES]
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rules = learn_rules(stored(stats.where(~failed).join(marked, F.col("doc_id") == F.col("labelled"))
-                               .select("doc_id", F.col("reject").cast("int"), *features), "labelled"))
+    rules = rules_from(stats, labels)
+    failed = base_failed()
     texts = F.create_map(*(x for i, r in enumerate(rules, 1) for x in (F.lit(i), F.lit(describe(r))))) if rules else None
     return stats.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
