@@ -23,8 +23,7 @@ def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the learned decision list keep."""
-    judged = quality.judge_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _kept(docs, judged.where("kept").select("doc_id"))
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +33,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    leaking = decontaminate.leaking_ids(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    found = leaking.select(F.col("doc_id").alias("__id"))
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["__id"]), "left_anti")
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
