@@ -125,8 +125,9 @@ def quarantine_order_items(items: DataFrame, orders: DataFrame, products: DataFr
     rest = columns[1:]
     # Copies merge first, so an id with very many copies reaches the join below as a few rows.
     distinct_rows = items.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    survivor = distinct_rows.groupBy("item_id").agg(F.min(F.struct(*rest)).alias("_first"))
-    survives = F.struct(*rest).eqNullSafe(F.col("_first")).alias("_survives")
+    # With the copies in the minimum (they cannot change it) both sides of the join read one merged shuffle.
+    survivor = distinct_rows.groupBy("item_id").agg(F.min(F.struct(*rest, "_copies")).alias("_first"))
+    survives = F.struct(*rest, "_copies").eqNullSafe(F.col("_first")).alias("_survives")
     tagged = distinct_rows.join(survivor, "item_id").select(*columns, "_copies", survives, F.struct(*columns).alias("_raw"))
     flagged = (
         typed_items(tagged)

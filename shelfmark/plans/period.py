@@ -51,9 +51,11 @@ def period_comparison(rev: DataFrame, start: date, end: date) -> DataFrame:
     before_start, before_end = previous_window(start, end)
     both = rev.filter(_between(before_start, end))
     window = F.when(F.col("order_date") >= F.lit(start), F.lit("current")).otherwise(F.lit("previous"))
-    measures = both.groupBy(window.alias("_window")).agg(
+    # Lines become one row per order first, so that the distinct counts multiply short rows only.
+    orders = both.groupBy(window.alias("_window"), "order_id", "customer_id").agg(F.sum("net_revenue").alias("_net"))
+    measures = orders.groupBy("_window").agg(
         F.count_distinct("order_id").alias("orders"),
-        total(F.col("net_revenue")).alias("revenue"),
+        total(F.col("_net")).alias("revenue"),
         F.count_distinct("customer_id").alias("unique_customers"),
     )
     names = ("orders", "revenue", "unique_customers")

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators import change, dedupe
 from shelfmark.plans import basket, clean, customers, period, sales
+from tests.conftest import physical
+
+ITEM_TEXTS = "item_id string, order_id string, product_id string, quantity string, unit_price string, discount_percent string"
 
 
 def brute_pairs(rows, support):
@@ -23,26 +26,36 @@ def brute_pairs(rows, support):
     return {pair: n for pair, n in counts.items() if n >= support}
 
 
-@pytest.mark.parametrize("heavy", [1, 3, 6, 500])
+@pytest.mark.parametrize("block", [1, 3, 6, 500])
 @pytest.mark.parametrize("support", [2, 3])
-def test_pairs_match_brute_force(spark, heavy, support):
-    """One order holds every product, some hold many; each limit takes other orders for large."""
+def test_pairs_match_brute_force(spark, block, support):
+    """One order holds every product, some hold many; each block size cuts the orders differently."""
     rng = random.Random(11)
     rows = [(0, p, 1) for p in range(40)]
     for order in range(1, 120):
         size = rng.choice([1, 2, 3, 5, 12])
         rows += [(order, rng.randint(0, 39), rng.choice([1, 2, -1])) for _ in range(size)]
     df = spark.createDataFrame(rows, "order_id int, product_id int, quantity int")
-    found = {(r[0], r[1]): r[2] for r in basket.pair_counts(df, support, heavy).collect()}
+    found = {(r[0], r[1]): r[2] for r in basket.pair_counts(df, support, block).collect()}
     assert found == brute_pairs(rows, support)
 
 
+def test_pairs_of_one_order_are_spread(spark):
+    """2,000 products of one order make 1,999,000 pairs, in several tasks and none with most of them."""
+    df = spark.range(2000).select(F.lit(1).alias("order_id"), F.col("id").alias("product_id"))
+    pairs = basket.order_pairs(df).groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count("*").alias("n"), F.count_distinct("product_a", "product_b").alias("different"),
+        F.sum((F.col("product_a") < F.col("product_b")).cast("int")).alias("ordered")).collect()
+    assert sum(r["n"] for r in pairs) == sum(r["different"] for r in pairs) == sum(r["ordered"] for r in pairs) == 1_999_000
+    assert len(pairs) >= 4 and max(r["n"] for r in pairs) < 1_000_000
+
+
 def test_pairs_only_in_large_orders(spark):
     rows = [(o, p, 1) for o in range(4) for p in range(10)] + [(9, 1, 1), (9, 2, 1)]
     df = spark.createDataFrame(rows, "order_id int, product_id int, quantity int")
-    found = {(r[0], r[1]): r[2] for r in basket.pair_counts(df, 3, heavy=5).collect()}
+    found = {(r[0], r[1]): r[2] for r in basket.pair_counts(df, 3, block=5).collect()}
     assert found == brute_pairs(rows, 3)
-    ranked = basket.basket_pairs(df, 3, heavy=5).orderBy("pair_rank").collect()
+    ranked = basket.basket_pairs(df, 3, block=5).orderBy("pair_rank").collect()
     assert [r["pair_rank"] for r in ranked] == list(range(1, len(ranked) + 1))
     assert (ranked[0]["product_a"], ranked[0]["product_b"], ranked[0]["times_bought_together"]) == (1, 2, 5)
 
@@ -86,10 +99,22 @@ def test_quarantine_accounts_for_every_row(views):
     assert accepted.select("item_id").distinct().count() == accepted.count()
 
 
+def test_quarantine_reads_the_items_once(spark, tmp_path):
+    """Both sides of the survivor join come from one shuffle of merged rows."""
+    path = str(tmp_path / "items")
+    spark.createDataFrame([("i", "o", "p", "1", "2.00", "0")] * 3, ITEM_TEXTS).write.parquet(path)
+    orders = spark.createDataFrame([("o",)], "order_id string")
+    products = spark.createDataFrame([("p",)], "product_id string")
+    rejected = clean.quarantine_order_items(spark.read.parquet(path), orders, products)
+    rejected.collect()
+    final = physical(rejected).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("FileScan parquet") == 1
+
+
 def test_quarantine_with_conflicting_copies(spark):
     items = spark.createDataFrame(
         [("i", "o", "p", "1", "2.00", "0")] * 3 + [("i", "o", "p", "2", "2.00", "0"), ("j", "o", "p", "1.5", "2.00", "0")],
-        "item_id string, order_id string, product_id string, quantity string, unit_price string, discount_percent string")
+        ITEM_TEXTS)
     orders = spark.createDataFrame([("o",)], "order_id string")
     products = spark.createDataFrame([("p",)], "product_id string")
     rejected = clean.quarantine_order_items(items, orders, products).collect()
