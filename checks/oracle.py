@@ -211,10 +211,6 @@ VIEWS: dict[str, str] = {
                COUNT(DISTINCT f.order_id) AS order_count
         FROM fx_flat f JOIN people p USING (customer_id)
         GROUP BY p.customer_id, p.customer_name, p.segment, p.region""",
-    "buyer_2001": """
-        SELECT p.customer_id, p.customer_name, SUM(f.sales) AS sales, COUNT(DISTINCT f.order_id) AS order_count
-        FROM fx_flat f JOIN people p USING (customer_id) WHERE f.order_date LIKE '%/2001'
-        GROUP BY p.customer_id, p.customer_name""",
     "good_orders": """
         SELECT order_id, CASE WHEN customer_id NOT IN ('', 'NULL', 'None', 'nan') THEN customer_id END AS customer_id,
                day AS order_date, status, region_code,
@@ -480,8 +476,9 @@ QUERIES: dict[str, str] = {
         HAVING COUNT(*) > 1""",
     "customer_totals": f"""SELECT customer_id, customer_name, {money("sales")} AS total_sales,
         {money("profit")} AS total_profit, order_count FROM buyer""",
-    "single_order_customers": f"""SELECT customer_id, customer_name, order_count, {money("sales")} AS total_sales
-        FROM buyer_2001 WHERE order_count = 1""",
+    "single_order_customers": f"""SELECT customer_id || '-' || right(order_date, 4) AS customer_id,
+        MIN(customer_name) AS customer_name, COUNT(DISTINCT order_id) AS order_count, {money("SUM(sales)")} AS total_sales
+        FROM fx_flat GROUP BY fx_flat.customer_id, right(order_date, 4) HAVING COUNT(DISTINCT order_id) = 1""",
     "revenue_by_category": f"""SELECT category, {money("SUM(net_revenue)")} AS net_revenue FROM fx_revenue
         GROUP BY category""",
     "returns_exceed_purchases": """SELECT * FROM (SELECT product_id, product_name, category,

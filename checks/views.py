@@ -2,7 +2,7 @@
 
 `checks/oracle.py` states the same derivations in SQL. Dirt (text dates, blanks, bad numbers,
 repeated rows, orphans) follows from the keys, so both engines see the same rows. Every view covers
-its whole source table.
+its whole source table, but for the two sides of the upsert, which are a table and its increment.
 """
 
 from __future__ import annotations
@@ -280,6 +280,10 @@ class Views:
 
     # Increment -------------------------------------------------------------------------------
 
+    def flat_by_year(self) -> DataFrame:
+        """All flat lines, with the customer of each year under a key of their own."""
+        return self.flat().withColumn("customer_id", F.concat_ws("-", "customer_id", F.substring("order_date", -4, 4)))
+
     def upsert_target(self) -> DataFrame:
         """Orders placed before 2001."""
         return self._coded(F.lit("ORD-")).filter(F.col("order_date") < F.lit("2001-01-01").cast("date"))
