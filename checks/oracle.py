@@ -131,6 +131,23 @@ VIEWS: dict[str, str] = {
                CAST(l_extendedprice AS DECIMAL(12,2)) AS total_amount, CAST(o_orderdate AS DATE) AS order_date,
                {STATUS} AS status, {_pick("l_orderkey", "Card", "Cash", "Transfer", "Wallet")} AS payment_method
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "fx_lake_orders_dirty_once": """
+        SELECT * REPLACE (CASE WHEN product_id % 250 <> 3 THEN customer_id END AS customer_id,
+                          CASE WHEN product_id % 300 = 4 THEN 'unknown' ELSE CAST(order_date AS VARCHAR) END AS order_date)
+        FROM fx_lake_orders""",
+    "fx_lake_orders_dirty": """
+        SELECT * FROM fx_lake_orders_dirty_once
+        UNION ALL SELECT * FROM fx_lake_orders_dirty_once WHERE product_id % 100 = 5""",
+    "good_lake_orders": """
+        SELECT DISTINCT * REPLACE (TRY_CAST(order_date AS DATE) AS order_date) FROM fx_lake_orders_dirty
+        WHERE order_id IS NOT NULL AND customer_id IS NOT NULL AND product_id IS NOT NULL""",
+    "good_lake_products": """
+        SELECT DISTINCT * REPLACE (capitals(product_name) AS product_name, capitals(category) AS category)
+        FROM fx_products_dirty""",
+    "fx_payments_dirty": """
+        SELECT *, lpad(CAST(order_id % 1000 AS VARCHAR), 3, '0') AS cvv,
+               CASE WHEN order_id % 70 <> 3 THEN CAST(payment_date AS VARCHAR) ELSE 'unknown' END AS paid
+        FROM fx_payments, range(2) copy(n) WHERE n = 0 OR order_id % 40 = 2""",
     "fx_payments": f"""
         SELECT 'PAY' || o_orderkey AS payment_id, o_orderkey AS order_id,
                lpad(CAST(o_orderkey * 104729 AS VARCHAR), 16, '4') AS card_number,
@@ -264,7 +281,8 @@ def _capitals(text: str) -> str:
             f"lambda w: upper(w[1]) || w[2:]), 'string_agg', ' ')")
 
 
-VIEWS["good_customers"] = re.sub(r"capitals\((\w+)\)", lambda m: _capitals(m[1]), VIEWS["good_customers"])
+for _name in ("good_customers", "good_lake_products"):
+    VIEWS[_name] = re.sub(r"capitals\((\w+)\)", lambda m: _capitals(m[1]), VIEWS[_name])
 VIEWS["masked_clean"] = VIEWS["masked"].replace("SOURCE_CUSTOMERS", "good_customers")
 VIEWS["masked_raw"] = VIEWS.pop("masked").replace("SOURCE_CUSTOMERS", "fx_customers")
 
@@ -693,6 +711,15 @@ QUERIES: dict[str, str] = {
     "tokenize_orders": f"""SELECT order_id, product_id, quantity, {_double("unit_price")}, {_double("total_amount")},
         {_iso("order_date")}, status, payment_method, sha256(CAST(customer_id AS VARCHAR)) AS customer_token
         FROM fx_lake_orders""",
+    "lake_orders_clean": f"""SELECT order_id, customer_id, product_id, quantity, {_double("unit_price")},
+        {_double("total_amount")}, {_iso("order_date")}, status, payment_method FROM good_lake_orders""",
+    "lake_products_clean": "SELECT * FROM good_lake_products",
+    "payments_clean": f"""SELECT DISTINCT payment_id, order_id, card_number, cvv, {_double("amount")},
+        CAST(TRY_CAST(paid AS DATE) AS VARCHAR) AS payment_date, payment_status FROM fx_payments_dirty""",
+    "lake_gold_sales": f"""SELECT product_id, product_name, category, COUNT(*) AS total_orders,
+        CAST(SUM(quantity) AS BIGINT) AS total_quantity_sold, {money('SUM(total_amount)')} AS total_revenue,
+        {average('total_amount')} AS avg_order_value
+        FROM good_lake_orders JOIN good_lake_products USING (product_id) GROUP BY product_id, product_name, category""",
     "mask_payments": f"""SELECT payment_id, order_id, '************' || right(card_number, 4) AS card_number,
         {_double("amount")}, {_iso("payment_date")}, payment_status, CASE WHEN amount < 1000 THEN 'Low'
         WHEN amount < 5000 THEN 'Medium' WHEN amount < 15000 THEN 'High' ELSE 'Very High' END AS spending_bucket

@@ -297,6 +297,12 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "mask_customers": lambda v: privacy.mask_customers(
         clean.clean_customers(v.customers_dirty()), F.lit(MASK_DAY).cast("date")),
     "tokenize_orders": _silver_orders,
+    "lake_orders_clean": lambda v: clean.clean_lake_orders(v.lake_orders_dirty()),
+    "lake_products_clean": lambda v: clean.clean_lake_products(v.products_dirty()),
+    "payments_clean": lambda v: clean.clean_payments(v.payments_dirty()),
+    "lake_gold_sales": lambda v: marts.sales_summary(
+        privacy.tokenize_orders(clean.clean_lake_orders(v.lake_orders_dirty())),
+        clean.clean_lake_products(v.products_dirty())),
     "mask_payments": lambda v: privacy.mask_payments(v.payments()),
     # 2.11 change
     "upsert": _upsert,

@@ -189,6 +189,20 @@ class Views:
             _pick(F.col("l_orderkey"), PAYMENT_METHODS).alias("payment_method"),
         )
 
+    def lake_orders_dirty(self) -> DataFrame:
+        """Lake orders as text dates, some unreadable, some without customer, some twice."""
+        dirty = self.lake_orders().withColumns({
+            "customer_id": F.when(~_every("product_id", 250, 3), F.col("customer_id")),
+            "order_date": F.when(_every("product_id", 300, 4), "unknown").otherwise(F.col("order_date").cast("string")),
+        })
+        return dirty.unionByName(dirty.filter(_every("product_id", 100, 5)))
+
+    def payments_dirty(self) -> DataFrame:
+        """Payments as text dates, some unreadable, some twice."""
+        dirty = self.payments().withColumn("payment_date", F.when(_every("order_id", 70, 3), "unknown")
+                                           .otherwise(F.col("payment_date").cast("string")))
+        return dirty.unionByName(dirty.filter(_every("order_id", 40, 2)))
+
     def payments(self) -> DataFrame:
         key = F.col("o_orderkey")
         return self._table("orders").select(
