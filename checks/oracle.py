@@ -725,6 +725,10 @@ QUERIES: dict[str, str] = {
         WHEN amount < 5000 THEN 'Medium' WHEN amount < 15000 THEN 'High' ELSE 'Very High' END AS spending_bucket
         FROM fx_payments""",
     "upsert": f"SELECT {CODED_ORDER} FROM fx_merged",
+    "upsert_partitioned": f"""SELECT {CODED_ORDER},
+        CASE WHEN month(order_date) <> 10 THEN strftime(order_date, '%Y-%m') END AS order_month FROM fx_merged""",
+    "append_checked": f"""SELECT {CODED_ORDER} FROM (SELECT * FROM fx_target UNION ALL
+        SELECT s.* FROM fx_source s ANTI JOIN fx_target t USING (order_id))""",
     "upsert_counts": """SELECT COUNT(*) FILTER (t.order_id IS NOT NULL) AS rows_to_update,
         COUNT(*) FILTER (t.order_id IS NULL) AS rows_to_insert FROM fx_source s LEFT JOIN fx_target t USING (order_id)""",
     "upsert_validation": """SELECT *, CAST(expected = actual AS INTEGER) AS passed FROM (

@@ -13,7 +13,7 @@ from pyspark.sql.types import DateType, DecimalType
 from checks.views import Views
 from shelfmark import schemas
 from shelfmark.operators import change, dedupe, joins, profile, quality
-from shelfmark.plans import basket, clean, customers, facts, marts, normalise, period, privacy, sales, shop
+from shelfmark.plans import basket, clean, customers, facts, layers, marts, normalise, period, privacy, sales, shop
 from shelfmark.session import fresh_path, tune
 from shelfmark.sources import files, tables
 
@@ -96,6 +96,24 @@ def _append_new_rows(v: Views) -> DataFrame:
     return tables.read_table(v.spark, name)
 
 
+def _append_checked(v: Views) -> DataFrame:
+    """The increment is appended after its keys were found among the orders, each row once though it comes twice."""
+    name = _table_name("batch")
+    tables.save_table(v.upsert_target(), name, path=fresh_path(v.spark, name))
+    batch = v.upsert_source()
+    layers.append_checked(batch.unionByName(batch), name, "order_id", [quality.Reference("order_id", v.orders(), "order_id")])
+    return tables.read_table(v.spark, name)
+
+
+def _upsert_partitioned(v: Views) -> DataFrame:
+    """Orders by month; the Octobers of all years have none, so the increment meets a NULL partition."""
+    month = F.when(F.month("order_date") != 10, F.date_format("order_date", "yyyy-MM"))
+    path = fresh_path(v.spark, "months")
+    files.write_parquet(v.upsert_target().withColumn("order_month", month).hint("rebalance", "order_month"), path, ["order_month"])
+    change.upsert_partitions(path, v.upsert_source().withColumn("order_month", month), "order_id", "order_month")
+    return files.read_parquet(v.spark, path)
+
+
 def _bronze_copy(v: Views) -> DataFrame:
     raw, bronze = fresh_path(v.spark, "raw"), fresh_path(v.spark, "bronze")
     landed = {
@@ -306,6 +324,8 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "mask_payments": lambda v: privacy.mask_payments(v.payments()),
     # 2.11 change
     "upsert": _upsert,
+    "upsert_partitioned": _upsert_partitioned,
+    "append_checked": _append_checked,
     "upsert_counts": lambda v: change.upsert_counts(v.upsert_target(), v.upsert_source(), "order_id"),
     "upsert_validation": lambda v: change.upsert_validation(
         v.upsert_target(), _upsert(v), v.upsert_source(), "order_id", "order_code", "INCR-2001"),
