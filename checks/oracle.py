@@ -139,8 +139,11 @@ VIEWS: dict[str, str] = {
         SELECT * FROM fx_lake_orders_dirty_once
         UNION ALL SELECT * FROM fx_lake_orders_dirty_once WHERE product_id % 100 = 5""",
     "good_lake_orders": """
-        SELECT DISTINCT * REPLACE (TRY_CAST(order_date AS DATE) AS order_date) FROM fx_lake_orders_dirty
-        WHERE order_id IS NOT NULL AND customer_id IS NOT NULL AND product_id IS NOT NULL""",
+        SELECT * EXCLUDE (place) REPLACE (TRY_CAST(order_date AS DATE) AS order_date) FROM (
+            SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY customer_id NULLS FIRST, product_id, quantity,
+                                         unit_price, total_amount, order_date, status, payment_method) AS place
+            FROM fx_lake_orders_dirty)
+        WHERE place = 1 AND order_id IS NOT NULL AND customer_id IS NOT NULL AND product_id IS NOT NULL""",
     "good_lake_products": """
         SELECT DISTINCT * REPLACE (capitals(product_name) AS product_name, capitals(category) AS category)
         FROM fx_products_dirty""",
