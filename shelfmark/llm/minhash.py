@@ -7,9 +7,9 @@ shingle sets are one class, and only class representatives enter the buckets.
 In a bucket the members are compared with its center, not with each other, and a candidate becomes a link after the full
 shingle sets have been compared. The center is the member that meets most others in all its buckets: of a group of near copies
 one of the least changed. Where a star leaves a bucket in several components, further members become centers, twice as
-many each round, for ROUNDS rounds. Buckets of up to 2^ROUNDS members are thereby compared in full; in a larger one the pairs
-stay in proportion to its members. Two texts alike that are unlike all centers of one large bucket meet in others: what they
-share against the centers sets them apart in about half of their common bands, and there they are among themselves.
+many each round, for ROUNDS rounds. Buckets of up to 2^ROUNDS members are thereby compared in full. What is left of the larger
+ones is compared by an exact index: shingles are put in one order, rare ones first, and two sets of enough similarity share
+one among the first of both, however many of their other shingles belong to a template.
 """
 
 from __future__ import annotations
@@ -35,6 +35,9 @@ ROWS = 6
 BINS = BANDS * ROWS
 ROUNDS = 3
 SETS_HELD = 32
+# Shingles are counted by slots of their hash. Any order gives all pairs, a rough one only more candidates.
+SLOTS = 1 << 16
+PIECES = 64
 
 
 @lru_cache(maxsize=1)
@@ -143,6 +146,74 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _frequency(texts: DataFrame, width: int) -> np.ndarray:
+    """In how many texts a shingle of each slot is found. A task sends its counts in PIECES rows, however many texts it has."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, total = worker_hashes(), np.zeros(SLOTS, np.int64)
+        for batch in small_batches(batches):
+            for text in as_bytes(batch.column(0)):
+                total += np.bincount(_slot(shingle_set(text, width, hashes)), minlength=SLOTS)
+        if total.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(PIECES), pa.int32()), pa.array([x.tobytes() for x in np.split(total, PIECES)], pa.binary())], names=["piece", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_py(), np.int64) for x in table.column("counts"))
+        return pa.table({"piece": table.column("piece").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    schema = "piece int, counts binary"
+    pieces = texts.select("text").mapInArrow(count, schema).groupBy("piece").applyInArrow(add, schema).collect()
+    found = np.zeros((PIECES, SLOTS // PIECES), np.int64)
+    for row in pieces:
+        found[row.piece] = np.frombuffer(row.counts, np.int64)
+    return found.ravel()
+
+
+def _slot(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles) % np.uint64(SLOTS)).astype(np.int64)
+
+
+def prefixes(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of texts (doc_id, component, text) the first shingles in the order of their frequency, with the size of the set (n) and
+    how many of it are left from this one on (rest). Two sets whose similarity is `percent` or more share one of them."""
+    sent = texts.sparkSession.sparkContext.broadcast(_frequency(texts, width))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = worker_hashes()
+        for batch in small_batches(batches):
+            row, token, size, rest = [], [], [], []
+            for i, text in enumerate(as_bytes(batch.column(2))):
+                found = shingle_set(text, width, hashes)
+                n = len(found)
+                first = n + (-percent * n) // 100 + 1 if n else 0  # all but the smallest intersection, and one
+                token.append(found[np.lexsort((found, sent.value[_slot(found)]))[:first]])
+                row.append(np.full(first, i))
+                size.append(np.full(first, n))
+                rest.append(n - np.arange(first))
+            at = pa.array(np.concatenate(row).astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(signed(np.concatenate(token))),
+                 pa.array(np.concatenate(size).astype(np.int64)), pa.array(np.concatenate(rest).astype(np.int64))],
+                names=["doc_id", "component", "token", "n", "rest"])
+
+    return texts.select("doc_id", "component", "text").mapInArrow(run, "doc_id long, component long, token long, n long, rest long")
+
+
+def _unlinked(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that can have the similarity, by their prefixes: all that have it are among them."""
+    rows = prefixes(texts, width, percent)
+    rows = stored(rows, "prefixes")
+    open_tokens = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("token")
+    rows = stored(rows.join(open_tokens, "token", "left_semi"), "prefixes")
+    # The first shingle that two sets share bounds what they share by what is left of either.
+    return rows.alias("a").join(rows.alias("b"), "token").where(
+        (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.component") != F.col("b.component"))
+        & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
+        & ((100 + percent) * F.least("a.rest", "b.rest") >= percent * (F.col("a.n") + F.col("b.n")))
+    ).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Per document doc_id, n_shingles, component_id (the smallest doc_id reachable over links, itself included), kept
     (doc_id = component_id).
@@ -167,13 +238,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     links = spark.createDataFrame([], "a long, b long")
     tested = spark.createDataFrame([], "a long, b long")
     where = spark.createDataFrame([], "node long, component long")
-    active = members
+    active = _open(members, where)
     for centers in (1 << k for k in range(ROUNDS)):
         # Buckets in one component are finished; in the others the next centers are compared with all that are left.
-        placed = active.join(where, F.col("doc_id") == F.col("node"), "left").select(
-            "bucket", "doc_id", "score", F.coalesce("component", "doc_id").alias("component"))
-        open_buckets = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
-        active = stored(placed.join(open_buckets, "bucket", "left_semi"), "active")
         if active.isEmpty():
             break
         chosen = _centers(active, centers)
@@ -184,8 +251,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         links = links.unionAll(stored(verified(pairs, texts, width, percent), "links"))
         where = components(links)
         # Every member has been compared with these centers now, so they leave the bucket.
-        active = active.select("bucket", "doc_id", "score").join(
-            chosen.select("bucket", F.col("center").alias("doc_id")), ["bucket", "doc_id"], "left_anti")
+        active = _open(active.select("bucket", "doc_id", "score").join(
+            chosen.select("bucket", F.col("center").alias("doc_id")), ["bucket", "doc_id"], "left_anti"), where)
+    if not active.isEmpty():
+        rest = active.select("doc_id", "component").distinct().join(texts, "doc_id")
+        pairs = stored(_unlinked(rest, width, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+        where = components(links.unionAll(verified(pairs, texts, width, percent)))
     found = classes.join(where, F.col("rep") == F.col("node"), "left").select(
         "set_a", "set_b", F.coalesce("component", "rep").alias("component"))
     # Rows that share a doc_id through different texts meet in one node.
@@ -195,6 +266,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     return linked.select("*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def _open(members: DataFrame, where: DataFrame) -> DataFrame:
+    """The members of buckets that are in more than one component, with their components."""
+    placed = members.join(where, F.col("doc_id") == F.col("node"), "left").select(
+        "bucket", "doc_id", "score", F.coalesce("component", "doc_id").alias("component"))
+    several = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
+    return stored(placed.join(several, "bucket", "left_semi"), "active")
+
+
 def _centers(active: DataFrame, count: int) -> DataFrame:
     """The `count` members of highest score of every bucket, with their components. One is found by an aggregate that combines
     before the shuffle; more are wanted only in the few buckets that are still open after the first round."""

@@ -107,6 +107,19 @@ def test_links_inside_buckets_of_unlike_members_are_found(spark):
     assert got == want and len(set(want.values())) == 60
 
 
+def test_links_that_share_only_the_bands_of_a_template_are_found(spark):
+    """More texts than the star rounds compare, all just under the similarity with each other, half of them in true pairs."""
+    template, docs = [f"c{i}" for i in range(120)], []
+    for d in range(80):
+        own = [f"w{d}x{i}" for i in range(16)]
+        docs.append((2 * d, " ".join(template + own)))
+        if d % 2 == 0:
+            docs.append((2 * d + 1, " ".join(template + own[:2] + [f"z{d}x{i}" for i in range(14)])))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 2).collect()}
+    want = {d: c for d, (_, c) in brute_components(docs, 2).items()}
+    assert len(set(want.values())) == 80 and got == want
+
+
 def test_near_duplicates_of_awkward_rows(spark, awkward, nothing):
     rows = minhash.near_duplicates(awkward, 2).collect()
     assert len(rows) == awkward.count()
