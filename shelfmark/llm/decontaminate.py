@@ -5,6 +5,10 @@ document. The fingerprint is cut into blocks; if two fingerprints differ in at m
 RADIUS // BLOCKS bits in one block at least, so looking up every block value near an item's own finds all windows within the
 radius. What is found is verified by the exact weighted similarity of the shingles.
 
+An edited copy may differ in more bits, or in the words that a shorter window leaves out. So every window of an item's own
+length that holds one of the item's rare shingles, a fifth of its weight, is compared as well: without all of these a window
+cannot have the similarity.
+
 Documents are read once and nothing is shuffled. The benchmark goes to the tasks in parts of bounded size.
 """
 
@@ -35,6 +39,7 @@ SIZE_STEP = 5  # windows are at most a fifth shorter than their item
 ITEM_WORDS_AT_ONCE = 200_000
 SEGMENT_WORDS = 100_000
 TILE = 4096
+ROUNDING = 1e-9  # sums of weights may differ by less
 
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -141,6 +146,30 @@ class Benchmark:
         for k, (_, words) in enumerate(self.items):
             by_size.setdefault(max(g for g in grid if g <= len(words)), []).append(k)
         self.sizes = [self._size(words, members) for words, members in sorted(by_size.items())]
+        self.prints = [_print(shingles(w)) for _, w in self.items]
+        self.rare = self._rare()
+        self.rare_hashes = np.sort(np.fromiter(self.rare, np.uint64, len(self.rare)))
+        self.rare_ends = np.zeros(1 << BLOCK_BITS, bool)
+        self.rare_ends[self.rare_hashes.astype(np.uint16)] = True
+
+    def _rare(self) -> dict[int, list[int]]:
+        """By shingle the items that have it among their rarest, which make up more than the weight a similar window may lack.
+        Items of fewer than SHINGLE words are found by their fingerprint or not at all."""
+        found: dict[int, list[int]] = {}
+        for k, (_, words) in enumerate(self.items):
+            if len(words) < SHINGLE:
+                continue
+            lacking = (1 - SIMILARITY) * self.size_of(k) + ROUNDING
+            for s in sorted(self.counts[k], key=lambda s: (self.frequency[s], s)):
+                found.setdefault(s, []).append(k)
+                lacking -= self.counts[k][s] * self.weight(s)
+                if lacking < 0:
+                    break
+        return found
+
+    def size_of(self, item: int) -> float:
+        """The weighted size of an item's bag of shingles."""
+        return sum(n * self.weight(s) for s, n in self.counts[item].items())
 
     def _size(self, words: int, members: list[int]) -> Size:
         prints = np.array([fingerprints(counters(shingles(self.items[k][1][:words])), self.run(words))[0] for k in members], np.uint64)
@@ -169,36 +198,81 @@ class Benchmark:
             either += w * max(a, b)
         return both / either
 
+    def rare_places(self, owner: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Where a rare shingle of some item starts, among words of several documents."""
+        if len(words) < SHINGLE:
+            return np.empty(0, np.int64)
+        found = window_hashes(words, SHINGLE)
+        at = np.flatnonzero(self.rare_ends[found.astype(np.uint16)])
+        at = at[np.isin(found[at], self.rare_hashes)]
+        return at[owner[at] == owner[at + SHINGLE - 1]]
+
+    def windows(self, item: int, words: np.ndarray, places: Sequence[int]) -> Iterator[tuple[float, int]]:
+        """(most similarity possible, start) of the windows that hold one of `places` and may be similar, likeliest first."""
+        length, own, size = len(self.items[item][1]), self.counts[item], self.size_of(item)
+        run, places, found = self.run(min(length, len(words))), sorted(set(places)), []
+        groups = np.split(np.array(places), np.flatnonzero(np.diff(places) > length) + 1)
+        for group in groups:
+            low, high = max(0, int(group[0]) - run + 1), min(len(words), int(group[-1]) + run + SHINGLE - 1)
+            inside = window_hashes(words[low:high], SHINGLE).tolist()
+            weights = np.array([self.weight(s) for s in inside])
+            shared = np.where([s in own for s in inside], weights, 0)
+            total, both = (np.concatenate([[0], np.cumsum(x)]) for x in (weights, shared))
+            total, both = total[run:] - total[:-run], both[run:] - both[:-run]
+            both = np.minimum(both, size)
+            most = both / (size + total - both)
+            at = np.flatnonzero(most >= SIMILARITY - ROUNDING)
+            found.extend(zip(most[at].tolist(), (low + at).tolist()))
+        yield from sorted(set(found), key=lambda x: (-x[0], x[1]))
+
     def search(self, docs: Sequence[np.ndarray]) -> Iterator[tuple[int, int, int, int, int, float]]:
         """(document, item number, first word, words, distance, similarity) of the best window of each similar pair."""
         best: dict[tuple[int, int], tuple] = {}
+        places: dict[tuple[int, int], list[int]] = {}
         longest = max((len(w) for _, w in self.items), default=0)
         tried: set[tuple[int, int, int]] = set()
+
+        def compare(doc: int, item: int, start: int) -> None:
+            if (doc, item, start) in tried:
+                return
+            tried.add((doc, item, start))
+            window = docs[doc][start:start + len(self.items[item][1])]
+            like = self.similarity(item, window)
+            if like >= SIMILARITY:
+                row = (-like, start, len(window), int(np.bitwise_count(_print(shingles(window)) ^ self.prints[item])))
+                best[doc, item] = min(best.get((doc, item), row), row)
+
         for owner, base, words in _segments(docs, longest):
             single = {}
+            for at in self.rare_places(owner, words).tolist():
+                doc = int(owner[at])
+                for item in self.rare[int(window_hashes(words[at:at + SHINGLE], SHINGLE)[0])]:
+                    places.setdefault((doc, item), []).append(base[doc] + at)
             for size in self.sizes:
                 width = min(SHINGLE, size.words)
                 if width not in single:
                     single[width] = counters(window_hashes(words, width))
                 prints = fingerprints(single[width], self.run(size.words))
                 whole = owner[:len(prints)] == owner[size.words - 1:size.words - 1 + len(prints)]
-                for at, item, distance in zip(*(x.tolist() for x in size.hits(prints))):
+                for at, item, _ in zip(*(x.tolist() for x in size.hits(prints))):
                     if not whole[at]:
                         continue
-                    doc, length = int(owner[at]), len(self.items[item][1])
-                    total = len(docs[doc])
-                    start = max(0, min(base[doc] + at, total - length))
-                    if (doc, item, start) in tried:
-                        continue
-                    tried.add((doc, item, start))
-                    like = self.similarity(item, docs[doc][start:start + length])
-                    if like >= SIMILARITY:
-                        row = (-like, start, min(length, total), distance)
-                        best[doc, item] = min(best.get((doc, item), row), row)
+                    doc = int(owner[at])
+                    compare(doc, item, max(0, min(base[doc] + at, len(docs[doc]) - len(self.items[item][1]))))
+        for (doc, item), found in places.items():
+            for most, start in self.windows(item, docs[doc], found):
+                if (doc, item) in best and most < -best[doc, item][0] - ROUNDING:
+                    break
+                compare(doc, item, start)
         for (doc, item), (like, start, words, distance) in sorted(best.items()):
             yield doc, self.items[item][0], start, words, distance, -like
 
 
+def _print(shingle: np.ndarray) -> np.uint64:
+    """SimHash of all of the shingles."""
+    return fingerprints(counters(shingle), len(shingle))[0]
+
+
 def _segments(docs: Sequence[np.ndarray], overlap: int):
     """Words of several documents side by side, at most about SEGMENT_WORDS of them; a longer document is cut into parts
     that overlap by an item. With them the document of every word, and what to add for its place in the document."""
@@ -226,7 +300,7 @@ def _segments(docs: Sequence[np.ndarray], overlap: int):
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item where a window of the document has the item's shingles with a weighted
     similarity of SIMILARITY or more: doc_id, item_id, start and n_words of the best window (in words that hold a
-    letter or digit), hamming, similarity.
+    letter or digit), hamming (between the fingerprints of item and window), similarity.
 
     Null and empty texts and items, and items without such words, match nothing. A repeated document row gives its rows
     again, a repeated item too. Items of fewer than SHINGLE words count as one shingle. Columns beyond doc_id and text,

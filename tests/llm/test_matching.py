@@ -216,6 +216,27 @@ def test_edited_and_long_texts(spark):
     assert sorted((r.doc_id, r.item_id, r.start) for r in rows) == [(1, 7, 150_000), (2, 7, 0), (4, 7, 99_990), (5, 7, 0)]
 
 
+def test_items_edited_to_just_the_similarity_are_found():
+    """One word changed anywhere, one left out or added: all windows of the item's length, one by one, against the search."""
+    rng = random.Random(3)
+    words = lambda n: np.array([rng.getrandbits(64) | 1 for _ in range(n)], np.uint64)
+    items = [(i, words(rng.randrange(48, 62))) for i in range(60)]
+    docs = []
+    for _, item in items:
+        at = rng.randrange(len(item))
+        edited = [np.concatenate([item[:at], words(1), item[at + 1:]]), np.delete(item, at), np.insert(item, at, words(1))]
+        docs += [np.concatenate([words(30), e, words(30)]) for e in edited]
+    bench = decontaminate.Benchmark(items)
+    got = {(d, i): (start, like) for d, i, start, _, _, like in bench.search(docs)}
+    want = {}
+    for d, doc in enumerate(docs):
+        n = len(items[d // 3][1])
+        like, start = max((bench.similarity(d // 3, doc[s:s + n]), -s) for s in range(len(doc) - n + 1))
+        if like >= decontaminate.SIMILARITY:
+            want[d, d // 3] = (-start, like)
+    assert len(want) > 100 and got == want
+
+
 def test_leaks_of_awkward_rows(spark, awkward, nothing):
     bench = spark.createDataFrame([(1, "one two three"), (1, "one two three"), (2, "a b c a b c a b c")], "item_id long, text string")
     rows = decontaminate.contaminated(awkward, bench).collect()
