@@ -5,8 +5,8 @@ collision in one table does not make two words alike, and inflected forms share
 words run over the text, each keeps its highest response, and a logistic layer weighs them. After training, a filter is a
 table lookup per word and place, and scoring adds the looked-up rows of neighbouring words.
 
-Thresholds are calibrated for each language, which is told by the function words of the text itself; the score is
-shifted so that 0.5 is the threshold of the text's language.
+Thresholds are calibrated for each language, which is told by the function words of the text itself, from the scores of
+all labelled rows that are not held out; the score is shifted so that 0.5 is the threshold of the text's language.
 """
 
 from __future__ import annotations
@@ -21,13 +21,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import as_bytes, small_batches
+from shelfmark.llm.common import as_bytes, small_batches, stored
 
 # Bounds of the labelled sample the classifier is fitted on.
 TOXIC_ROWS = 3000
 OTHER_ROWS = 5000
 LONGEST = 200_000  # characters; longer texts are scored but not trained on
-CALIBRATION_SHARE = 4  # one sample row in so many is kept from training and sets the thresholds
+CALIBRATION_SHARE = 4  # one sample row in so many is kept from training, so that not only rows learned by heart set the thresholds
+LEAST_LABELS = 20  # a language with fewer toxic or other rows takes the threshold of all
+STEPS = 64  # bins of a logit's unit in the counts that thresholds are read from
+FARTHEST = 30  # logits beyond are counted with it
 
 BUCKETS = 1 << 19
 DIMENSION = 8
@@ -123,8 +126,8 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def train(texts: list[bytes], labels: np.ndarray, seed: int = 11) -> Model:
-    """Fit the classifier by stochastic gradient descent with per-weight step sizes, then its thresholds on rows
-    that were kept aside. Without rows of both labels the model answers 0 for everything."""
+    """Fit the classifier by stochastic gradient descent with per-weight step sizes, without the rows kept aside. Without rows
+    of both labels the model answers 0 for everything."""
     rng = np.random.default_rng(seed)
     table = np.zeros((BUCKETS, DIMENSION), np.float32)
     filters = {k: rng.normal(0, 0.1, (k, DIMENSION, FILTERS)).astype(np.float32) for k in WIDTHS}
@@ -192,7 +195,6 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 11) -> Model:
             target, grads = target[known[target]], grads[known[target]]
             np.add.at(seen["table"], target, (grads ** 2).sum(1))
             np.add.at(table, target, -RATE * grads / np.sqrt(seen["table"][target])[:, None])
-    calibrate(model, [texts[i] for i in np.flatnonzero(kept)], labels[kept])
     return model
 
 
@@ -225,29 +227,39 @@ def first_evidence(coded: list[np.ndarray], labels: np.ndarray, rows: np.ndarray
     return found
 
 
-def calibrate(model: Model, texts: list[bytes], labels: np.ndarray) -> None:
-    """Put each language's threshold where most of the rows kept aside, weighed to one toxic in ten, are told rightly."""
-    if not len(labels) or len(set(labels.tolist())) < 2:
-        return
-    scorer = Scorer(model)
-    raw, language = scorer.raw(texts)
-    weight = np.where(labels == 1, 0.1 / max(1, labels.sum()), 0.9 / max(1, (1 - labels).sum()))
+def thresholds(counts: np.ndarray) -> np.ndarray:
+    """From rows counted by language, label and bin of the logit the threshold of each language: where most of them, weighed to
+    one toxic in ten, are told rightly."""
+    total = counts.sum((0, 2))
+    if not total.all():
+        return np.zeros(len(counts))
 
     def threshold(rows: np.ndarray) -> float:
-        order = rows[np.argsort(raw[rows], kind="stable")]
-        wrong_below = np.concatenate([[0], np.cumsum(np.where(labels[order] == 1, weight[order], 0))])
-        wrong_above = np.concatenate([np.cumsum(np.where(labels[order] == 0, weight[order], 0)[::-1])[::-1], [0]])
-        least = np.flatnonzero(np.isclose(wrong_below + wrong_above, (wrong_below + wrong_above).min()))
-        cut = least[len(least) // 2]  # the middle of the widest choice
-        low = raw[order[cut - 1]] if cut else raw[order[0]] - 1
-        high = raw[order[cut]] if cut < len(order) else raw[order[-1]] + 1
-        return float((low + high) / 2)
-
-    everything = threshold(np.arange(len(labels)))
-    for i in range(len(LANGUAGES) + 1):
-        rows = np.flatnonzero(language == i)
-        enough = len(rows) and min(labels[rows].sum(), (1 - labels[rows]).sum()) >= 20
-        model.shift[i] = threshold(rows) if enough else everything
+        wrong_below = np.concatenate([[0], np.cumsum(rows[1])]) * 0.1 / total[1]
+        wrong_above = np.concatenate([np.cumsum(rows[0][::-1])[::-1], [0]]) * 0.9 / total[0]
+        filled = np.flatnonzero(rows.any(0))
+        wrong = (wrong_below + wrong_above)[filled[0]:filled[-1] + 2]
+        least = np.flatnonzero(np.isclose(wrong, wrong.min(), rtol=1e-9, atol=0))
+        widest = max(np.split(least, np.flatnonzero(np.diff(least) > 1) + 1), key=len)
+        return (filled[0] + (widest[0] + widest[-1]) / 2) / STEPS - FARTHEST
+
+    everything = threshold(counts.sum(0))
+    return np.array([threshold(c) if c.sum(1).min() >= LEAST_LABELS else everything for c in counts])
+
+
+def calibrate(model: Model, raw: DataFrame, labels: DataFrame) -> None:
+    """Set the thresholds from all labelled rows of `raw` (doc_id, logit, language) that are not held out. They are counted in
+    Spark: the driver gets one row per language, label and bin. Copies count once."""
+    if not model.weights.any():
+        return
+    once = usable(labels).groupBy("doc_id").agg(F.min("toxic").alias("toxic"))
+    scored = raw.where("NOT held_out").select("doc_id", "logit", "language").distinct().join(once, "doc_id")
+    place = F.floor((F.col("logit") + FARTHEST) * STEPS).cast("int")
+    place = F.greatest(F.lit(0), F.least(F.lit(2 * FARTHEST * STEPS - 1), place))
+    counts = np.zeros((len(LANGUAGES) + 1, 2, 2 * FARTHEST * STEPS), np.int64)
+    for row in scored.groupBy("language", "toxic", place.alias("bin")).count().collect():
+        counts[row["language"], row["toxic"], row["bin"]] = row["count"]
+    model.shift[:] = thresholds(counts)
 
 
 class Scorer:
@@ -296,23 +308,24 @@ class Scorer:
         votes = np.concatenate(votes)
         return np.concatenate(logit), np.where(votes.any(1), votes.argmax(1), len(LANGUAGES))
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        logit, language = self.raw(texts)
-        return sigmoid(logit - self.model.shift[language]) if len(texts) else logit
-
 
 def held_out(doc_id: Column) -> Column:
     """True for rows whose labels are never learned from."""
     return F.coalesce(F.pmod(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")), F.lit(FOLDS)) == 0, F.lit(False))
 
 
+def usable(labels: DataFrame) -> DataFrame:
+    """doc_id and toxic of the labels that may be learned from, once each."""
+    known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
+    return known.where(~held_out(F.col("doc_id"))).distinct()
+
+
 def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], np.ndarray]:
     """The labelled rows to fit on: of each label a bounded number, by a hash of doc_id, none held out."""
-    usable = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
-    usable = usable.where(~held_out(F.col("doc_id"))).distinct()
+    known = usable(labels)
     picked = None
     for label, most in ((1, TOXIC_ROWS), (0, OTHER_ROWS)):
-        part = usable.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        part = known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         picked = part if picked is None else picked.unionAll(part)
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).where(
         F.length("text").between(1, LONGEST))
@@ -331,15 +344,21 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Without labels of both kinds every score is near 0. Columns beyond doc_id and text are not read.
     """
     texts, toxic = sample(docs, labels)
-    sent = docs.sparkSession.sparkContext.broadcast(train(texts, toxic))
+    model = train(texts, toxic)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
         for batch in small_batches(batches):
-            score = scorer.scores(as_bytes(batch.column(2)))
+            logit, language = scorer.raw(as_bytes(batch.column(2)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))],
-                names=["doc_id", "held_out", "score", "predicted"])
+                [batch.column(0), batch.column(1), pa.array(logit, pa.float64()), pa.array(language.astype(np.int32))],
+                names=["doc_id", "held_out", "logit", "language"])
 
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return slim.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    raw = stored(slim.mapInArrow(run, "doc_id long, held_out boolean, logit double, language int"), "logits")
+    calibrate(model, raw, labels)
+    shift = F.array(*(F.lit(float(x)) for x in model.shift))
+    beyond = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("logit") - F.get(shift, F.col("language"))))
+    scored = raw.select("doc_id", "held_out", (1 / (1 + F.exp(-beyond))).alias("score"))
+    return scored.select("*", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

@@ -48,6 +48,21 @@ def test_toxicity_of_awkward_rows(spark, awkward, nothing):
     assert toxicity.score_toxicity(nothing, labels.limit(0)).count() == 0
 
 
+def test_a_language_of_few_labels_has_its_own_threshold(spark):
+    """In German a word is harmless that English uses in toxic texts only; a quarter of its labels would be too few."""
+    rng = random.Random(8)
+    rows = []
+    for lang, mark, toxic, n in [("en", "mild", 1, 100), ("en", "vile", 1, 100), ("en", "", 0, 2000), ("de", "vile", 1, 50), ("de", "mild", 0, 50)]:
+        for _ in range(n):
+            filler = [f"{lang}{rng.randrange(300)}" for _ in range(12)] + toxicity.FUNCTION_WORDS[lang].split()[:8]
+            at = rng.randrange(len(filler))
+            rows.append((len(rows), " ".join([*filler[:at], mark, *filler[at:]]), toxic, lang + mark))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int, kind string")
+    found = {r.doc_id: r.predicted for r in toxicity.score_toxicity(docs, docs.select("doc_id", "toxic")).collect()}
+    share = {k: np.mean([found[d] for d, _, _, kind in rows if kind == k]) for k in ("enmild", "envile", "en", "devile", "demild")}
+    assert min(share["enmild"], share["envile"], share["devile"]) > 0.9 and max(share["en"], share["demild"]) < 0.1, share
+
+
 # near duplicates
 
 def shingles(text, width):
