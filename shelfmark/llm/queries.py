@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontaminate, hilbert, minhash, packing, quality, revisits, secrets, substrings, toxicity, urls
+from shelfmark.llm import (
+    decontaminate, divergence, hilbert, merkle, minhash, packing, quality, revisits, secrets, substrings, toxicity, urls, wordvectors,
+)
 from shelfmark.llm.common import ready
 
 SHARDS = 24
@@ -66,6 +68,18 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.document_shards(_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op11_random_indexing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordvectors.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_revisit_resolution": op1_revisit_resolution,
     "op2_cnn_toxicity": op2_cnn_toxicity,
@@ -77,6 +91,9 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_tree_repeats": op8_suffix_tree_repeats,
     "op9_shift_and_urls": op9_shift_and_urls,
     "op10_hilbert_shards": op10_hilbert_shards,
+    "op11_random_indexing": op11_random_indexing,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 
