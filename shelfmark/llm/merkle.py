@@ -3,7 +3,7 @@
 Rows become leaves, numbered within their tree without gathering a tree in one task. At every level each node meets its sibling by an
 equijoin on the sibling's computed index (the own index XOR 1: runs hold two nodes), and the nodes at slot zero of their run
 emit the parents. A level is written before the next one is built, so a lost executor costs one level. The levels are then
-walked from the root down: a node hands its own siblings, from itself to the root, to its children.
+walked from the root down, again each written: a node hands its own siblings, from itself to the root, to its children.
 
 A digest is kept as 32 bytes and hashed as its lower-case hex text.
 """
@@ -62,22 +62,22 @@ def numbered(df: DataFrame, tree: str | None, order: list[Column]) -> DataFrame:
 
 
 def sibling_levels(nodes: DataFrame) -> list[DataFrame]:
-    """Levels of all trees from the leaves (tree, idx, size, digest) up, stored: each node with its sibling's digest, null where it has
-    none or is the root. A tree is in every level up to the one where it has a single node."""
+    """Levels of all trees from the leaves (tree, idx, size, digest; stored) up, stored: each node with its sibling's digest, null
+    where it has none or is the root. A tree is in every level up to the one where it has a single node."""
+    largest = nodes.agg(F.max("size")).first()[0] or 1
     levels = []
-    while True:
+    for n in range((largest - 1).bit_length() + 1):
         sibling = nodes.select(F.col("tree").alias("of"), F.col("idx").alias("at"), F.col("digest").alias("sibling"))
         shifted = nodes["idx"].bitwiseXOR(F.lit(1).cast("long"))
         level = stored(nodes.join(sibling, nodes["tree"].eqNullSafe(sibling["of"]) & (shifted == sibling["at"]), "left").select(
-            "tree", "idx", "size", "digest", "sibling"), f"merkle-{len(levels)}")
+            "tree", "idx", "size", "digest", "sibling"), f"merkle-{n}")
         levels.append(level)
-        if not level.where("size > 1").limit(1).count():
-            return levels
         slot_zero = level.where((F.col("size") > 1) & (F.col("idx") % 2 == 0))
         parent = F.when(F.col("sibling").isNull(), sha256_of(hex_of(F.col("digest")))).otherwise(
             sha256_of(hex_of(F.col("digest")), hex_of(F.col("sibling"))))
         nodes = slot_zero.select("tree", F.shiftright("idx", 1).alias("idx"),
                                  F.shiftright(F.col("size") + 1, 1).alias("size"), parent.alias("digest"))
+    return levels
 
 
 def step(idx: Column, sibling: Column) -> Column:
@@ -89,17 +89,18 @@ def paths(levels: list[DataFrame], roots: DataFrame) -> DataFrame:
     """tree, idx, top, steps of every leaf: the steps from it up to the root of its tree, then those that `roots` (tree, top,
     steps) has for the root, and the root's `top`."""
 
-    def down(above: DataFrame | None, level: DataFrame) -> DataFrame:
+    above = None
+    for n, level in reversed(list(enumerate(levels))):
         own = level.withColumn("is_root", F.col("size") == 1)
         found = own.where("is_root").join(roots.withColumnRenamed("tree", "of"), F.col("tree").eqNullSafe(F.col("of"))).select(
             "tree", "idx", "top", "steps")
-        if above is None:
-            return found
-        parents = above.select(F.col("tree").alias("of"), F.col("idx").alias("at"), "top", "steps")
-        inner = own.where("NOT is_root").join(parents, F.col("tree").eqNullSafe(F.col("of")) & (F.shiftright("idx", 1) == F.col("at")))
-        return found.unionByName(inner.select("tree", "idx", "top", F.concat(F.array(step(F.col("idx"), F.col("sibling"))), "steps").alias("steps")))
-
-    return reduce(down, reversed(levels), None)
+        if above is not None:
+            parents = above.select(F.col("tree").alias("of"), F.col("idx").alias("at"), "top", "steps")
+            inner = own.where("NOT is_root").join(parents, F.col("tree").eqNullSafe(F.col("of")) & (F.shiftright("idx", 1) == F.col("at")))
+            found = found.unionByName(inner.select(
+                "tree", "idx", "top", F.concat(F.array(step(F.col("idx"), F.col("sibling"))), "steps").alias("steps")))
+        above = stored(found, f"merkle-path-{n}") if n else found
+    return above
 
 
 def folded(leaf: Column, steps: Column) -> Column:
