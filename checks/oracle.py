@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from checks.views import ITEM_SPELLINGS
+
 
 def _pick(index: str, *values: str) -> str:
     cases = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
@@ -34,6 +36,19 @@ def average(expression: str) -> str:
 
 ITEM_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 UNIT_PRICE = "CAST(CAST(FLOOR(l_extendedprice * 100 / l_quantity) AS BIGINT) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2))"
+ITEM_NUMBERS = {"quantity": 8, "unit_price": 8, "discount_percent": 3}  # digits before the point; six after it
+
+
+def _spelled(column: str) -> str:
+    cases = " ".join(f"WHEN product_id % {step} = {rest} THEN '{text}'" for step, rest, text in reversed(ITEM_SPELLINGS[column]))
+    return f"CASE {cases} ELSE CAST({column} AS VARCHAR) END AS {column}"
+
+
+def _fits(column: str) -> str:
+    read = f"{column}_read"
+    return f"(trunc({read} * 1000000) = {read} * 1000000 AND abs({read}) < 1e{ITEM_NUMBERS[column]})"
+
+
 STATUS = ("CASE o_orderstatus WHEN 'F' THEN 'DELIVERED' WHEN 'O' THEN 'SHIPPED' ELSE "
           + _pick("o_orderkey", "CANCELLED", "PLACED", "RETURNED") + " END")
 REGION = _pick("o_custkey", "NORTH", "SOUTH", "EAST", "WEST", "CENTRAL")
@@ -79,22 +94,19 @@ VIEWS: dict[str, str] = {
                {UNIT_PRICE} AS unit_price,
                CAST(CAST(ROUND(l_discount * 100) AS INTEGER) AS DECIMAL(5,2)) AS discount_percent
         FROM lineitem""",
-    "fx_items_dirty_once": """
+    "fx_items_dirty_once": f"""
         SELECT item_id,
                CASE WHEN (order_id + product_id) % 100 = 0 THEN -1 - order_id ELSE order_id END AS order_id, product_id,
-               CASE WHEN product_id % 200 = 7 THEN '0' WHEN product_id % 300 = 8 THEN 'x'
-                    ELSE CAST(quantity AS VARCHAR) END AS quantity,
-               CAST(unit_price AS VARCHAR) AS unit_price,
-               CASE WHEN product_id % 200 = 9 THEN CAST(120 AS DECIMAL(5,2)) ELSE discount_percent END
-                   AS discount_percent,
-               order_id AS source_key
+               {_spelled("quantity")}, {_spelled("unit_price")}, {_spelled("discount_percent")}, order_id AS source_key
         FROM fx_items""",
     "fx_items_dirty": """
         SELECT * EXCLUDE (source_key) FROM fx_items_dirty_once
         UNION ALL SELECT * EXCLUDE (source_key) FROM fx_items_dirty_once WHERE source_key % 200 = 5""",
-    "fx_items_typed": """
-        SELECT * REPLACE (TRY_CAST(quantity AS INTEGER) AS quantity, TRY_CAST(unit_price AS DECIMAL(12,2)) AS unit_price)
-        FROM fx_items_dirty""",
+    "fx_items_read": f"""
+        SELECT *, {", ".join(f"TRY_CAST(trim({c}) AS DECIMAL(38,15)) AS {c}_read" for c in ITEM_NUMBERS)} FROM fx_items_dirty""",
+    "fx_items_typed": f"""
+        SELECT item_id, order_id, product_id, {", ".join(f"CASE WHEN {_fits(c)} THEN {c}_read END AS {c}" for c in ITEM_NUMBERS)}
+        FROM fx_items_read""",
     "fx_products": """
         SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category, p_brand AS subcategory,
                CAST(p_retailprice AS DECIMAL(10,2)) AS cost_price,
@@ -138,6 +150,19 @@ VIEWS: dict[str, str] = {
     "fx_lake_orders_dirty": """
         SELECT * FROM fx_lake_orders_dirty_once
         UNION ALL SELECT * FROM fx_lake_orders_dirty_once WHERE product_id % 100 = 5""",
+    "fx_lake_order_lines": """
+        SELECT *, CASE WHEN product_id % 200 IN (36, 37) THEN 'malformed_line' ELSE concat_ws(',',
+                   CASE WHEN customer_id IS NULL THEN 'missing:customer_id' END,
+                   CASE WHEN product_id % 200 = 33 THEN 'does_not_fit:quantity' END,
+                   CASE WHEN product_id % 200 = 34 THEN 'does_not_fit:unit_price' END,
+                   CASE WHEN product_id % 200 = 38 THEN 'not_a_number:total_amount' END,
+                   CASE WHEN order_date = 'unknown' THEN 'malformed:order_date' END,
+                   CASE WHEN product_id % 200 = 35 THEN 'missing:status' END) END AS reject_reasons,
+               CASE WHEN product_id % 200 = 33 THEN '2.5' ELSE CAST(quantity AS VARCHAR) END AS quantity_text,
+               CASE WHEN product_id % 200 = 34 THEN '1.239' ELSE CAST(unit_price AS VARCHAR) END AS price_text,
+               CASE WHEN product_id % 200 = 38 THEN 'n/a' ELSE CAST(total_amount AS VARCHAR) END AS amount_text,
+               CASE WHEN product_id % 200 = 35 THEN '' ELSE status END AS status_text
+        FROM fx_lake_orders_dirty""",
     "good_lake_orders": """
         SELECT * EXCLUDE (place) REPLACE (TRY_CAST(order_date AS DATE) AS order_date) FROM (
             SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY customer_id NULLS FIRST, product_id, quantity,
@@ -246,19 +271,22 @@ VIEWS: dict[str, str] = {
                                              lambda w: upper(w[1]) || w[2:]), 'string_agg', ' ') AS product_name,
                category, subcategory, TRY_CAST(cost_price AS DECIMAL(12,2)) AS cost_price
         FROM (SELECT DISTINCT * FROM fx_products_dirty) WHERE TRY_CAST(cost_price AS DECIMAL(12,2)) > 0""",
-    "judged_items": """
-        SELECT d.*,
-               CASE WHEN TRY_CAST(quantity AS INTEGER) IS NULL THEN 'not_a_number'
-                    WHEN TRY_CAST(quantity AS INTEGER) = 0 THEN 'zero_quantity'
-                    WHEN TRY_CAST(unit_price AS DECIMAL(12,2)) <= 0 THEN 'non_positive_price'
-                    WHEN discount_percent NOT BETWEEN 0 AND 100 THEN 'discount_out_of_range'
+    "judged_items": f"""
+        SELECT d.* EXCLUDE (quantity_read, unit_price_read, discount_percent_read),
+               CASE WHEN {" OR ".join(f"{c}_read IS NULL" for c in ITEM_NUMBERS)} THEN 'not_a_number'
+                    WHEN NOT ({" AND ".join(_fits(c) for c in ITEM_NUMBERS)}) THEN 'does_not_fit'
+                    WHEN quantity_read = 0 THEN 'zero_quantity'
+                    WHEN unit_price_read <= 0 THEN 'non_positive_price'
+                    WHEN discount_percent_read NOT BETWEEN 0 AND 100 THEN 'discount_out_of_range'
                     WHEN order_id NOT IN (SELECT order_id FROM good_orders) THEN 'unknown_order'
                     WHEN product_id NOT IN (SELECT product_id FROM good_products) THEN 'unknown_product'
                END AS reject_reason
         FROM (SELECT item_id, order_id, product_id, quantity, unit_price, discount_percent, COUNT(*) AS copies,
+                     any_value(quantity_read) AS quantity_read, any_value(unit_price_read) AS unit_price_read,
+                     any_value(discount_percent_read) AS discount_percent_read,
                      row_number() OVER (PARTITION BY item_id ORDER BY order_id, product_id, quantity, unit_price,
                                         discount_percent) AS place
-              FROM fx_items_dirty GROUP BY item_id, order_id, product_id, quantity, unit_price, discount_percent) d""",
+              FROM fx_items_read GROUP BY item_id, order_id, product_id, quantity, unit_price, discount_percent) d""",
     "good_customers": """
         SELECT customer_id, capitals(customer_name) AS customer_name, email,
                CASE WHEN phone IS NULL THEN 'Not Provided'
@@ -341,8 +369,24 @@ def _breakdown(period: str) -> str:
         FROM fx_revenue WHERE {IN_PERIOD} GROUP BY 1"""
 
 
-def _mart(joined: str, keys: str, *measures: str) -> str:
-    return f"SELECT {keys}, {', '.join(measures)} FROM fx_lake_orders o {joined} GROUP BY {keys}"
+def _mart(joined: str, keys: str, *measures: str, orders: str = "fx_lake_orders") -> str:
+    return f"SELECT {keys}, {', '.join(measures)} FROM {orders} o {joined} GROUP BY {keys}"
+
+
+def _customer_mart(orders: str, people: str) -> str:
+    return f"""SELECT customer_token, age_band, city, state, COUNT(*) AS total_orders,
+        {money("SUM(total_amount)")} AS total_spent, {average("total_amount")} AS avg_order_value
+        FROM {orders} o JOIN (SELECT *, {AGE_BAND} AS age_band FROM {people}) c
+        ON c.customer_token = sha256(CAST(o.customer_id AS VARCHAR)) GROUP BY customer_token, age_band, city, state"""
+
+
+def _bucket(amount: str) -> str:
+    return (f"CASE WHEN {amount} < 1000 THEN 'Low' WHEN {amount} < 5000 THEN 'Medium' WHEN {amount} < 15000 THEN 'High' "
+            f"ELSE 'Very High' END AS spending_bucket")
+
+
+def _not_null(table: str, view: str, columns: str) -> list[str]:
+    return [_violations(table, "not_null", c, _bad(view, f"{c} IS NULL")) for c in columns.split()]
 
 
 _TO_PRODUCT = "JOIN fx_products p USING (product_id)"
@@ -376,6 +420,13 @@ def _bad(table: str, condition: str) -> str:
     return f"SELECT COUNT(*) FROM {table} WHERE {condition}"
 
 
+VALIDATION = """SELECT *, CAST(expected = actual AS INTEGER) AS passed FROM (
+    SELECT 'row_delta' AS "check", (SELECT COUNT(*) FROM fx_source s ANTI JOIN fx_target t USING (order_id)) AS expected,
+           (SELECT COUNT(*) FROM fx_merged) - (SELECT COUNT(*) FROM fx_target) AS actual
+    UNION ALL SELECT 'duplicate_keys', 0, (SELECT COUNT(*) - COUNT(DISTINCT order_id) FROM fx_merged)
+    UNION ALL SELECT 'new_rows_by_prefix', (SELECT COUNT(*) FROM fx_source WHERE order_code LIKE 'INCR-2001%'),
+           (SELECT COUNT(*) FROM fx_merged WHERE order_code LIKE 'INCR-2001%'))"""
+
 QUERIES: dict[str, str] = {
     "csv_round_trip": f"SELECT customer_id, customer_name, email, phone, {_iso('signup_date')} FROM fx_customers",
     "parquet_round_trip": f"""SELECT item_id, order_id, quantity, {_double("net_revenue")}, {_iso("order_day")},
@@ -512,10 +563,63 @@ QUERIES: dict[str, str] = {
         _TO_PRODUCT, "product_id, product_name, category", "COUNT(*) AS total_orders",
         "CAST(SUM(quantity) AS BIGINT) AS total_quantity_sold", f"{money('SUM(total_amount)')} AS total_revenue",
         f"{average('total_amount')} AS avg_order_value"),
-    "mart_customer_summary": f"""SELECT customer_token, age_band, city, state, COUNT(*) AS total_orders,
-        {money("SUM(total_amount)")} AS total_spent, {average("total_amount")} AS avg_order_value
-        FROM fx_lake_orders o JOIN (SELECT *, {AGE_BAND} AS age_band FROM masked_raw) c
-        ON c.customer_token = sha256(CAST(o.customer_id AS VARCHAR)) GROUP BY customer_token, age_band, city, state""",
+    "mart_customer_summary": _customer_mart("fx_lake_orders", "masked_raw"),
+    "lake_gold_customers": _customer_mart("good_lake_orders", "masked_clean"),
+    "lake_gold_categories": _mart(
+        "JOIN good_lake_products p USING (product_id)", "category", "COUNT(*) AS total_orders",
+        "CAST(SUM(quantity) AS BIGINT) AS total_units_sold", f"{money('SUM(total_amount)')} AS total_revenue", orders="good_lake_orders"),
+    "lake_gold_category_revenue": _mart("JOIN good_lake_products p USING (product_id)", "category",
+                                        f"{money('SUM(total_amount)')} AS category_revenue", orders="good_lake_orders"),
+    "lake_gold_monthly": f"""SELECT strftime(order_date, '%Y-%m') AS order_month,
+        {money("SUM(total_amount)")} AS monthly_revenue FROM good_lake_orders GROUP BY 1""",
+    "lake_silver_payments": f"""SELECT DISTINCT payment_id, order_id, '************' || right(card_number, 4) AS card_number,
+        {_double("amount")}, CAST(TRY_CAST(paid AS DATE) AS VARCHAR) AS payment_date, payment_status, {_bucket("amount")}
+        FROM fx_payments_dirty""",
+    "append_rejects": f"""SELECT * FROM (WITH batch AS (
+            SELECT s.* FROM fx_source s, range(2)
+            UNION ALL SELECT * REPLACE (NULL AS order_id) FROM fx_source WHERE order_id % 50 = 0
+            UNION ALL SELECT * REPLACE (-1 AS customer_id) FROM fx_source WHERE order_id % 90 = 1
+            UNION ALL SELECT * REPLACE (CAST(total_amount + 5 AS DECIMAL(12,2)) AS total_amount) FROM fx_source WHERE order_id % 70 = 3),
+        told AS (SELECT *, CASE WHEN order_id IS NULL THEN 'missing_key'
+                WHEN customer_id NOT IN (SELECT customer_id FROM fx_customers) THEN 'unknown_customer_id'
+                WHEN order_id IN (SELECT order_id FROM fx_target) THEN 'known_key' END AS reject_reason FROM batch),
+        numbered AS (SELECT *, row_number() OVER (PARTITION BY order_id, reject_reason ORDER BY order_code, customer_id NULLS FIRST,
+                order_date, status, total_amount) AS place FROM told)
+        SELECT {CODED_ORDER}, coalesce(reject_reason, 'repeated_key') AS reject_reason, COUNT(*) AS copies FROM numbered
+        WHERE reject_reason IS NOT NULL OR place > 1 GROUP BY ALL)""",
+    "replaced_table": f"SELECT {CLEAN_ORDER} FROM fx_orders WHERE status <> 'CANCELLED'",
+    "checked_scan": f"""SELECT order_id, CAST(customer_id AS VARCHAR) AS customer_id, CAST(product_id AS VARCHAR) AS product_id, quantity,
+        {_double("unit_price")}, {_double("total_amount")}, order_date, status, payment_method
+        FROM fx_lake_order_lines WHERE reject_reasons = ''""",
+    "checked_scan_rejects": """SELECT order_id, CAST(customer_id AS VARCHAR) AS customer_id, CAST(product_id AS VARCHAR) AS product_id,
+        quantity_text AS quantity, price_text AS unit_price, amount_text AS total_amount, order_date, nullif(status_text, '') AS status,
+        CASE WHEN product_id % 200 <> 36 THEN payment_method END AS payment_method,
+        CASE WHEN product_id % 200 IN (36, 37) THEN concat_ws(',', order_id, coalesce(CAST(customer_id AS VARCHAR), ''), product_id,
+            quantity_text, price_text, amount_text, order_date, status_text, CASE WHEN product_id % 200 = 37
+            THEN payment_method || ',more' END) END AS _corrupt_record, reject_reasons
+        FROM fx_lake_order_lines WHERE reject_reasons <> ''""",
+    "clean_store_report": " UNION ALL ".join((
+        _violations("customers", "unique", "customer_id", "0"),
+        *_not_null("customers", "(SELECT DISTINCT * FROM fx_customers_dirty)", "customer_id customer_name email registration_date"),
+        *(_violations("customers", kind, name, "0") for kind, name in (
+            ("not_null", "customer_type"), ("not_null", "email_valid"), ("check", "email_flag"))),
+        _violations("customers", "not_null", "region_code", "0"),
+        *(_violations("products", kind, name, "0") for kind, name in (
+            ("unique", "product_id"), ("check", "positive_cost"), *(("not_null", c) for c in (
+                "product_id", "product_name", "category", "subcategory", "cost_price")))),
+        _violations("orders", "unique", "order_id", _repeated("good_orders", "order_id")),
+        *_not_null("orders", "good_orders", "order_id order_date status region_code is_guest"),
+        _violations("orders", "check", "known_status", _bad(
+            "good_orders", "status NOT IN ('DELIVERED', 'SHIPPED', 'PLACED', 'CANCELLED', 'RETURNED')")),
+        _violations("orders", "check", "guest_flag", _bad("good_orders", "is_guest NOT IN (0, 1)")),
+        _violations("orders", "foreign_key", "customer_id", _bad(
+            "good_orders", "customer_id NOT IN (SELECT CAST(customer_id AS VARCHAR) FROM fx_customers)")),
+        *(_violations("order_items", kind, name, "0") for kind, name in (
+            ("unique", "item_id"), ("check", "moved_units"), ("check", "positive_price"), ("check", "discount_range"),
+            ("foreign_key", "order_id"), ("foreign_key", "product_id"), *(("not_null", c) for c in (
+                "item_id", "order_id", "product_id", "quantity", "unit_price", "discount_percent")))))),
+    "remove_duplicates": f"SELECT {CODED_ORDER} FROM fx_target",
+    "incremental_load": f"SELECT {CODED_ORDER} FROM fx_merged",
     "mart_product_summary": _mart(
         _TO_PRODUCT, "category", "COUNT(*) AS total_orders", "CAST(SUM(quantity) AS BIGINT) AS total_units_sold",
         f"{money('SUM(total_amount)')} AS total_revenue"),
@@ -628,13 +732,13 @@ QUERIES: dict[str, str] = {
         FROM good_products""",
     "clean_orders": f"""SELECT order_id, customer_id, {_iso("order_date")}, status, region_code, is_guest
         FROM good_orders""",
-    "clean_order_items": f"""SELECT item_id, order_id, product_id, CAST(quantity AS INTEGER) AS quantity,
-        CAST(unit_price AS DOUBLE) AS unit_price, {_double("discount_percent")}
+    "clean_order_items": f"""SELECT item_id, order_id, product_id,
+        {", ".join(f"CAST(CAST(trim({c}) AS DECIMAL(38,15)) AS DOUBLE) AS {c}" for c in ITEM_NUMBERS)}
         FROM judged_items WHERE place = 1 AND reject_reason IS NULL""",
-    "quarantine_order_items": f"""SELECT item_id, order_id, product_id, quantity, unit_price,
-        {_double("discount_percent")}, reject_reason, 1 AS copies FROM judged_items
+    "quarantine_order_items": """SELECT item_id, order_id, product_id, quantity, unit_price,
+        discount_percent, reject_reason, 1 AS copies FROM judged_items
         WHERE place = 1 AND reject_reason IS NOT NULL
-        UNION ALL SELECT item_id, order_id, product_id, quantity, unit_price, {_double("discount_percent")},
+        UNION ALL SELECT item_id, order_id, product_id, quantity, unit_price, discount_percent,
         'duplicate', copies - CAST(place = 1 AS INTEGER) FROM judged_items WHERE copies > 1 OR place > 1""",
     "flag_email_valid": f"""SELECT customer_id, titled AS customer_name, email, phone, {_iso("dob")},
         {_iso("registration_date")}, {_iso("signup_date")}, address, city, state, segment, region, customer_type,
@@ -704,7 +808,7 @@ QUERIES: dict[str, str] = {
         _violations("order_items", "unique", "item_id", _repeated("fx_items_dirty", "item_id")),
         _violations("order_items", "not_null", "quantity", _bad("fx_items_typed", "quantity IS NULL")),
         _violations("order_items", "check", "moved_units", _bad("fx_items_typed", "quantity = 0")),
-        _violations("order_items", "check", "discount_range", _bad("fx_items_typed", "discount_percent > 100")),
+        _violations("order_items", "check", "discount_range", _bad("fx_items_typed", "discount_percent NOT BETWEEN 0 AND 100")),
         _violations("order_items", "foreign_key", "order_id",
                     "SELECT COUNT(*) FROM fx_items_dirty i ANTI JOIN fx_orders o USING (order_id)"),
         _violations("order_items", "foreign_key", "product_id",
@@ -724,9 +828,7 @@ QUERIES: dict[str, str] = {
         {average('total_amount')} AS avg_order_value
         FROM good_lake_orders JOIN good_lake_products USING (product_id) GROUP BY product_id, product_name, category""",
     "mask_payments": f"""SELECT payment_id, order_id, '************' || right(card_number, 4) AS card_number,
-        {_double("amount")}, {_iso("payment_date")}, payment_status, CASE WHEN amount < 1000 THEN 'Low'
-        WHEN amount < 5000 THEN 'Medium' WHEN amount < 15000 THEN 'High' ELSE 'Very High' END AS spending_bucket
-        FROM fx_payments""",
+        {_double("amount")}, {_iso("payment_date")}, payment_status, {_bucket("amount")} FROM fx_payments""",
     "upsert": f"SELECT {CODED_ORDER} FROM fx_merged",
     "upsert_partitioned": f"""SELECT {CODED_ORDER},
         CASE WHEN month(order_date) <> 10 THEN strftime(order_date, '%Y-%m') END AS order_month FROM fx_merged""",
@@ -734,12 +836,8 @@ QUERIES: dict[str, str] = {
         SELECT s.* FROM fx_source s ANTI JOIN fx_target t USING (order_id))""",
     "upsert_counts": """SELECT COUNT(*) FILTER (t.order_id IS NOT NULL) AS rows_to_update,
         COUNT(*) FILTER (t.order_id IS NULL) AS rows_to_insert FROM fx_source s LEFT JOIN fx_target t USING (order_id)""",
-    "upsert_validation": """SELECT *, CAST(expected = actual AS INTEGER) AS passed FROM (
-        SELECT 'row_delta' AS "check", (SELECT COUNT(*) FROM fx_source s ANTI JOIN fx_target t USING (order_id)) AS expected,
-               (SELECT COUNT(*) FROM fx_merged) - (SELECT COUNT(*) FROM fx_target) AS actual
-        UNION ALL SELECT 'duplicate_keys', 0, (SELECT COUNT(*) - COUNT(DISTINCT order_id) FROM fx_merged)
-        UNION ALL SELECT 'new_rows_by_prefix', (SELECT COUNT(*) FROM fx_source WHERE order_code LIKE 'INCR-2001%'),
-               (SELECT COUNT(*) FROM fx_merged WHERE order_code LIKE 'INCR-2001%'))""",
+    "incremental_report": VALIDATION,
+    "upsert_validation": VALIDATION,
     "conditional_update": "SELECT " + ", ".join(
         "COALESCE(postal_code, '0') AS postal_code" if c == "postal_code" else _double(c) if c in FLAT_MONEY else c
         for c in FLAT) + " FROM fx_flat",

@@ -97,14 +97,70 @@ def _append_new_rows(v: Views) -> DataFrame:
 
 
 def _append_checked(v: Views) -> DataFrame:
-    """The increment is appended after its keys were found among the orders, each row once though it comes twice."""
+    """A batch is appended after its keys were found among the orders; rows without a key and all but one row of a key stay out."""
     name = _table_name("batch")
     tables.save_table(v.upsert_target(), name, path=fresh_path(v.spark, name))
-    batch = v.upsert_source()
-    layers.append_checked(batch.unionByName(batch), name, "order_id", [quality.Reference("order_id", v.orders(), "order_id")])
+    batch = v.batch().filter("customer_id IS NULL OR customer_id > 0")
+    layers.append_checked(batch, name, "order_id", [quality.Reference("order_id", v.orders(), "order_id")])
     return tables.read_table(v.spark, name)
 
 
+def _append_rejects(v: Views) -> DataFrame:
+    """What an append gives back of the careless batch."""
+    name = _table_name("batch")
+    tables.save_table(v.upsert_target(), name, path=fresh_path(v.spark, name))
+    return tables.append_new_rows(v.batch(), name, "order_id", [quality.Reference("customer_id", v.customers(), "customer_id")])
+
+
+def _replaced_table(v: Views) -> DataFrame:
+    """A table saved, dropped, made anew, and replaced by a part of its own rows."""
+    name = _table_name("orders")
+    tables.save_table(v.orders(), name, path=fresh_path(v.spark, name))
+    tables.drop_table(v.spark, name)
+    folder = fresh_path(v.spark, name)
+    tables.replace_table(v.orders(), name, folder)
+    tables.replace_table(tables.read_table(v.spark, name).filter("status <> 'CANCELLED'"), name, folder)
+    return tables.read_table(v.spark, name)
+
+
+def _master(v: Views) -> tuple[str, str]:
+    """A table that holds some orders twice, and the folder of its versions."""
+    name, target = _table_name("master"), v.upsert_target()
+    folder = fresh_path(v.spark, name)
+    tables.replace_table(target.unionByName(target.filter("order_id % 40 = 3")), name, folder)
+    return name, folder
+
+
+def _remove_duplicates(v: Views) -> DataFrame:
+    name, folder = _master(v)
+    layers.remove_duplicates(v.spark, name, "order_id", folder)
+    return tables.read_table(v.spark, name)
+
+
+def _incremental_load(v: Views, report: bool = False) -> DataFrame:
+    """The table after duplicates were removed and the increment was loaded, or the checks of that load."""
+    name, folder = _master(v)
+    layers.remove_duplicates(v.spark, name, "order_id", folder)
+    checks = layers.incremental_load(v.upsert_source(), name, "order_id", folder, "order_code", "INCR-2001")
+    return checks if report else tables.read_table(v.spark, name)
+
+
+def _scan_orders(v: Views) -> DataFrame:
+    path = fresh_path(v.spark, "lines")
+    v.lake_order_lines().write.text(path)
+    return files.scan_checked(v.spark, path, schemas.LAKE["orders"], header=False)
+
+
+def _lake(v: Views) -> layers.Layer:
+    """The silver layer from dirty tables."""
+    raw = {"customers": v.customers_dirty(), "products": v.products_dirty(), "orders": v.lake_orders_dirty(), "payments": v.payments_dirty()}
+    return layers.silver_lake(layers.clean_lake(raw), F.lit(MASK_DAY).cast("date"))
+
+
+def _gold(mart: str) -> Callable[[Views], DataFrame]:
+    return lambda v: layers.gold_lake(_lake(v))[mart]
+
+
 def _upsert_partitioned(v: Views) -> DataFrame:
     """Orders by month; the Octobers of all years have none, so the increment meets a NULL partition."""
     month = F.when(F.month("order_date") != 10, F.date_format("order_date", "yyyy-MM"))
@@ -173,6 +229,28 @@ def _constraint_report(v: Views) -> DataFrame:
     })
 
 
+def _clean_store_report(v: Views) -> DataFrame:
+    """What the declared store tables promise, held against the cleaned ones."""
+    store = layers.clean_store({"customers": v.customers_dirty().withColumnRenamed("region", "region_code"), "products": v.products_dirty(),
+                                "orders": v.orders_dirty(), "order_items": v.items_dirty()}, v.as_of())
+    ref, kinds = quality.Reference, schemas.STORE_CLEAN
+    orders, products = store["orders"], store["products"]
+    statuses = ("DELIVERED", "SHIPPED", "PLACED", "CANCELLED", "RETURNED")
+    return quality.constraint_report({
+        "customers": (store["customers"], quality.declared(
+            kinds["customers"], ["customer_id"], {"email_flag": F.col("email_valid").isin(0, 1)})),
+        "products": (products, quality.declared(kinds["products"], ["product_id"], {"positive_cost": F.col("cost_price") > 0})),
+        "orders": (orders, quality.declared(
+            kinds["orders"], ["order_id"], {"known_status": F.col("status").isin(*statuses), "guest_flag": F.col("is_guest").isin(0, 1)},
+            [ref("customer_id", v.customers().select(F.col("customer_id").cast("string").alias("customer_id")), "customer_id")])),
+        "order_items": (store["order_items"], quality.declared(
+            kinds["order_items"], ["item_id"],
+            {"moved_units": F.col("quantity") != 0, "positive_price": F.col("unit_price") > 0,
+             "discount_range": F.col("discount_percent").between(0, 100)},
+            [ref("order_id", orders, "order_id"), ref("product_id", products, "product_id")])),
+    })
+
+
 def _single_order_customers(v: Views) -> DataFrame:
     """A customer and year count as one customer here: over all years nearly everyone has several orders."""
     flat = v.flat_by_year()
@@ -190,6 +268,11 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "table_round_trip": _table_round_trip,
     "append_new_rows": _append_new_rows,
     "bronze_copy": _bronze_copy,
+    "append_rejects": _append_rejects,
+    "replaced_table": _replaced_table,
+    "checked_scan": lambda v: files.good_rows(_scan_orders(v)),
+    "checked_scan_rejects": lambda v: files.rejected_lines(_scan_orders(v)).withColumn(
+        files.REASONS, F.array_join(files.REASONS, ",")),
     # 2.2 projections and filters
     "project_columns": lambda v: v.customers().select("customer_id", "customer_name", "city"),
     "net_sales_enrich": lambda v: clean.net_sales_enrich(v.sales(), "Shelfmark"),
@@ -321,11 +404,20 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "lake_gold_sales": lambda v: marts.sales_summary(
         privacy.tokenize_orders(clean.clean_lake_orders(v.lake_orders_dirty())),
         clean.clean_lake_products(v.products_dirty())),
+    "lake_gold_customers": _gold("customer_summary"),
+    "lake_gold_categories": _gold("product_summary"),
+    "lake_gold_category_revenue": _gold("category_revenue"),
+    "lake_gold_monthly": _gold("monthly_revenue"),
+    "lake_silver_payments": lambda v: _lake(v)["payments_secure"],
     "mask_payments": lambda v: privacy.mask_payments(v.payments()),
+    "clean_store_report": _clean_store_report,
     # 2.11 change
     "upsert": _upsert,
     "upsert_partitioned": _upsert_partitioned,
     "append_checked": _append_checked,
+    "remove_duplicates": _remove_duplicates,
+    "incremental_load": _incremental_load,
+    "incremental_report": lambda v: _incremental_load(v, report=True),
     "upsert_counts": lambda v: change.upsert_counts(v.upsert_target(), v.upsert_source(), "order_id"),
     "upsert_validation": lambda v: change.upsert_validation(
         v.upsert_target(), _upsert(v), v.upsert_source(), "order_id", "order_code", "INCR-2001"),

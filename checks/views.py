@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.schemas import LAKE
+
 # Schemas of the given tables; stating them saves a job per table that would read file footers.
 TABLES = {
     "region": "r_regionkey INT, r_name STRING",
@@ -30,6 +32,15 @@ PAYMENT_STATUS = ("Paid", "Failed", "Refunded")
 SALE_CATEGORIES = ("Electronics", "Clothing", "Furniture", "Office Supplies")
 SALE_REGIONS = ("North", "South", "East", "West")
 
+# Numbers of dirty items that are not plain ones: column -> (step, rest, text) for the products of that rest; the later wins.
+ITEM_SPELLINGS = {
+    "quantity": [(300, 8, "x"), (200, 7, "0"), (200, 11, "2.00004"), (200, 12, "2.5"), (200, 19, "1e1"), (200, 20, " 7 "),
+                 (200, 21, "123456789"), (200, 22, "0.0000001"), (200, 23, "nan")],
+    "unit_price": [(200, 13, "1.239"), (200, 14, "5.555"), (200, 15, "0.004"), (200, 18, "1.23456789"), (200, 24, "-0.004"),
+                   (200, 25, "free")],
+    "discount_percent": [(200, 9, "120"), (200, 16, "-0.001"), (200, 17, "100.004"), (200, 26, "12.3456"), (200, 27, "")],
+}
+
 
 def _pick(index: Column, values: tuple[str, ...]) -> Column:
     return F.element_at(F.array(*(F.lit(v) for v in values)), (index % len(values) + 1).cast("int"))
@@ -138,15 +149,17 @@ class Views:
 
     def items_dirty(self) -> DataFrame:
         orphan = (F.col("order_id") + F.col("product_id")) % 100 == 0
+        def spelled(column: str) -> Column:
+            """The value as text; some products have spellings of their own."""
+            text = F.col(column).cast("string")
+            for step, rest, value in ITEM_SPELLINGS[column]:
+                text = F.when(_every("product_id", step, rest), F.lit(value)).otherwise(text)
+            return text.alias(column)
+
         dirty = self.items().select(
             "item_id",
             F.when(orphan, -1 - F.col("order_id")).otherwise(F.col("order_id")).alias("order_id"),
-            "product_id",
-            F.when(_every("product_id", 200, 7), "0").when(_every("product_id", 300, 8), "x")
-            .otherwise(F.col("quantity").cast("string")).alias("quantity"),
-            F.col("unit_price").cast("string").alias("unit_price"),
-            F.when(_every("product_id", 200, 9), F.lit("120").cast("decimal(5,2)"))
-            .otherwise(F.col("discount_percent")).alias("discount_percent"),
+            "product_id", spelled("quantity"), spelled("unit_price"), spelled("discount_percent"),
             F.col("order_id").alias("_key"),
         )
         return dirty.unionByName(dirty.filter(_every("_key", 200, 5))).drop("_key")
@@ -197,6 +210,21 @@ class Views:
         })
         return dirty.unionByName(dirty.filter(_every("product_id", 100, 5)))
 
+    def lake_order_lines(self) -> DataFrame:
+        """The dirty lake orders as lines of a CSV file, in one column; some have a field too few or too many, or a number that
+        its column would round."""
+        def of(step: int, rest: int, value: str, otherwise: Column) -> Column:
+            return F.when(_every("product_id", step, rest), F.lit(value)).otherwise(otherwise)
+
+        text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in LAKE["orders"].names}
+        text["quantity"] = of(200, 33, "2.5", text["quantity"])
+        text["unit_price"] = of(200, 34, "1.239", text["unit_price"])
+        text["status"] = of(200, 35, "", text["status"])
+        text["total_amount"] = of(200, 38, "n/a", text["total_amount"])
+        last = F.concat(F.lit(","), text["payment_method"])
+        end = F.when(_every("product_id", 200, 36), "").when(_every("product_id", 200, 37), F.concat(last, F.lit(",more"))).otherwise(last)
+        return self.lake_orders_dirty().select(F.concat(F.concat_ws(",", *list(text.values())[:-1]), end).alias("value"))
+
     def payments_dirty(self) -> DataFrame:
         """Payments as text dates, some unreadable, some twice."""
         dirty = self.payments().withColumn("payment_date", F.when(_every("order_id", 70, 3), "unknown")
@@ -315,6 +343,17 @@ class Views:
         return rows.filter(day >= F.lit("2000-10-01").cast("date")).withColumn(
             "total_amount", (F.col("total_amount") + 1).cast("decimal(12,2)"))
 
+    def batch(self) -> DataFrame:
+        """The increment as a careless sender brings it: every row twice, some without a key, some of a customer nobody knows, some
+        once more at another price."""
+        rows = self.upsert_source()
+        return (
+            rows.unionByName(rows)
+            .unionByName(rows.filter(_every("order_id", 50)).withColumn("order_id", F.lit(None).cast("bigint")))
+            .unionByName(rows.filter(_every("order_id", 90, 1)).withColumn("customer_id", F.lit(-1).cast("bigint")))
+            .unionByName(rows.filter(_every("order_id", 70, 3)).withColumn("total_amount", (F.col("total_amount") + 5).cast("decimal(12,2)")))
+        )
+
     def _coded(self, prefix: Column) -> DataFrame:
         return self.orders().select(
             "order_id", F.concat(prefix, F.col("order_id")).alias("order_code"), "customer_id", "order_date",

@@ -2,55 +2,101 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.operators.dedupe import repeated_keys
 from shelfmark.session import fresh_path
 
 
+PARTITIONS_AT_ONCE = 100  # partitions named in one filter
+
+
 class DuplicateKeyError(ValueError):
     """The increment names a key twice, so there is no single new version of it."""
 
 
+class MissingKeyError(ValueError):
+    """The increment has a row without a key, which no later run could find again."""
+
+
+class MovedKeyError(ValueError):
+    """An update would move a key to another partition."""
+
+
+def check_keys(source: DataFrame, key: str) -> None:
+    """Refuse an increment with a repeated or a missing key, as a merge would."""
+    wrong = source.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col(key).isNull() | (F.col("_rows") > 1))
+    missing = [row[key] is None for row in wrong.limit(1).collect()]
+    if missing == [True]:
+        raise MissingKeyError(f"the source has rows without {key}")
+    if missing:
+        raise DuplicateKeyError(f"the source repeats values of {key}")
+
+
+def _merged(target: DataFrame, source: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    untouched = target.join(keys.select(key), key, "left_anti")
+    return untouched.select(*target.columns).unionByName(source.select(*target.columns))
+
+
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Rows of `target` replaced by the row of `source` with the same key, new keys added.
 
-    The increment is checked for repeated keys first, as a merge would refuse them.
+    The increment is checked for repeated and missing keys first.
     """
-    if not repeated_keys(source, [key]).isEmpty():
-        raise DuplicateKeyError(f"the source repeats values of {key}")
-    untouched = target.join(source.select(key), key, "left_anti")
-    return untouched.select(*target.columns).unionByName(source.select(*target.columns))
+    check_keys(source, key)
+    return _merged(target, source, source, key)
 
 
-class MovedKeyError(ValueError):
-    """An update would move a key to another partition."""
+def within_partitions(df: DataFrame, partition: str, values: Sequence) -> DataFrame:
+    """The rows of some partitions, NULL among them or not, by literals, so that a scan opens no other directory."""
+    named = [v for v in values if v is not None]
+    wanted = F.col(partition).isin(*named) if named else F.lit(False)
+    return df.filter(wanted if len(named) == len(values) else wanted | F.col(partition).isNull())
 
 
-def upsert_partitions(path: str, source: DataFrame, key: str, partition: str) -> None:
-    """Upsert into a Parquet directory partitioned by `partition`, rewriting only the partitions the
-    source touches.
+def partition_batches(df: DataFrame, partition: str, size: int = PARTITIONS_AT_ONCE) -> Iterator[list]:
+    """The values of a partition column in order, `size` at a time; the driver never holds them all."""
+    values = (row[0] for row in df.select(partition).distinct().orderBy(partition).toLocalIterator())
+    while batch := list(islice(values, size)):
+        yield batch
 
-    NULL is a partition like any other. A key must stay in its partition. The new rows are staged in the
-    shared folder before the table changes, so they are complete. Partitions are then replaced one by one: a run
-    that fails in between leaves some of them old, and running the same upsert again completes it.
+
+def upsert_partitions(path: str, source: DataFrame, key: str, partition: str, at_once: int = PARTITIONS_AT_ONCE) -> int:
+    """Upsert into a Parquet directory partitioned by `partition`, reading and rewriting only the partitions the source
+    touches; returns the number of batches they were taken in.
+
+    NULL is a partition like any other. A key must not come from a partition that the source leaves alone; whether one does
+    is told from the key column, the only one read of the whole table. The increment is staged by partition, and the new rows of each batch
+    of partitions after it, in the shared folder before the table changes, so they are complete. Partitions are then replaced batch by batch: a
+    run that fails in between leaves some of them old, and running the same upsert again completes it.
     """
     spark = source.sparkSession
+    check_keys(source, key)
     target = spark.read.parquet(path)
-    parts = source.select(F.col(partition).alias("_touched")).distinct()
-    same = target[partition].eqNullSafe(parts["_touched"])
-    elsewhere = target.join(parts, same, "left_anti").select(key).join(source.select(key), key, "left_semi")
-    if not elsewhere.isEmpty():
-        raise MovedKeyError(f"the source moves values of {key} to another {partition}")
+    kinds = dict(target.dtypes)
     stage = fresh_path(spark, "stage")
-    upsert(target.join(parts, same, "left_semi"), source, key).write.partitionBy(partition).parquet(stage)
-    staged = spark.read.schema(target.schema).parquet(stage)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    source.select(*(F.col(c).cast(kinds[c]).alias(c) for c in target.columns)).write.partitionBy(partition).parquet(f"{stage}/source")
+    staged = spark.read.schema(target.schema).parquet(f"{stage}/source")
+
+    touched = staged.select(F.col(partition).alias("_touched")).distinct()
+    found = target.select(key, partition).join(staged.select(key), key, "left_semi")
+    if not found.join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_anti").isEmpty():
+        raise MovedKeyError(f"the source moves values of {key} to another {partition}")
+
+    batches = 0
+    for values in partition_batches(staged, partition, at_once):
+        old, new = (within_partitions(df, partition, values) for df in (target, staged))
+        _merged(old, new, staged, key).write.partitionBy(partition).parquet(f"{stage}/batch-{batches}")
+        batches += 1
+    for n in range(batches):
+        rows = spark.read.schema(target.schema).parquet(f"{stage}/batch-{n}")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
     spark.catalog.refreshByPath(path)
+    return batches
 
 
 def upsert_counts(target: DataFrame, source: DataFrame, key: str) -> DataFrame:

@@ -12,8 +12,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfmark.operators.joins import orphan_count
+from shelfmark.schemas import required
 
 
 def rule_violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -67,6 +69,12 @@ class Constraints:
     references: Sequence[Reference] = ()
 
 
+def declared(schema: StructType, unique: Sequence[str] = (), checks: Mapping[str, Column] | None = None,
+             references: Sequence[Reference] = ()) -> Constraints:
+    """The constraints of a table with a declared schema: its NOT NULL columns and those given."""
+    return Constraints(unique, required(schema), checks or {}, references)
+
+
 def constraint_report(tables: Mapping[str, tuple[DataFrame, Constraints]]) -> DataFrame:
     """`table_name, kind, constraint_name, violations` for every declared constraint.
 
@@ -97,3 +105,35 @@ def constraint_report(tables: Mapping[str, tuple[DataFrame, Constraints]]) -> Da
             missing = orphan_count(df, ref.column, ref.parent, ref.parent_key, count_null=False)
             parts.append(report(missing, "foreign_key", F.lit(ref.column)))
     return reduce(DataFrame.unionByName, parts)
+
+
+def judge_batch(rows: DataFrame, known: DataFrame, key: str, references: Sequence[Reference] = ()) -> DataFrame:
+    """The different rows of a batch with `reject_reason`, NULL for those to append, and `copies`, the number of rows of the batch
+    each stands for; copies add up to the batch.
+
+    Reasons, the first that holds: `missing_key`; `unknown_<column>` for a value without a parent; `known_key` for a key that `known`
+    holds; `repeated_key` for all but one row of a key, copies of that one included. Of rows that nothing else speaks against the
+    first by their columns is taken.
+    """
+    columns = rows.columns
+    rest = [c for c in columns if c != key] or [key]
+    # Copies merge before anything is joined, so a key with very many of them stays cheap.
+    merged = rows.groupBy(*columns).agg(F.count("*").alias("copies"))
+    reason = F.when(F.col(key).isNull(), "missing_key")
+    for ref in references:
+        parents = ref.parent.select(F.col(ref.parent_key).alias(ref.column)).distinct().withColumn(f"_has_{ref.column}", F.lit(True))
+        merged = merged.join(parents, ref.column, "left")
+        reason = reason.when(F.col(ref.column).isNotNull() & F.col(f"_has_{ref.column}").isNull(), f"unknown_{ref.column}")
+    held = known.select(key).join(merged.select(key), key, "left_semi").distinct().withColumn("_known", F.lit(True))
+    judged = merged.join(held, key, "left").select(
+        *columns, "copies", reason.when(F.col("_known"), "known_key").alias("reject_reason"))
+    first = judged.filter(F.col("reject_reason").isNull()).groupBy(key).agg(F.min(F.struct(*rest)).alias("_first"))
+    placed = judged.join(first, key, "left")
+    free = F.col("reject_reason").isNull()
+    taken = free & F.struct(*rest).eqNullSafe(F.col("_first"))
+    spare = F.col("copies") - taken.cast("int")
+    verdicts = F.array(
+        F.struct(F.lit(None).cast("string").alias("reason"), taken.cast("bigint").alias("copies")),
+        F.struct(F.when(free, "repeated_key").otherwise(F.col("reject_reason")).alias("reason"), spare.alias("copies")))
+    told = placed.select(*columns, F.explode(F.filter(verdicts, lambda v: v["copies"] > 0)).alias("_verdict"))
+    return told.select(*columns, F.col("_verdict.reason").alias("reject_reason"), F.col("_verdict.copies").alias("copies"))

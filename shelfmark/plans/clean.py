@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.dates import parse_mixed_date
-from shelfmark.functions.money import MONEY, PERCENT, average, discounted, total
+from shelfmark.functions.money import MONEY, average, discounted, total
+from shelfmark.functions.numbers import DOES_NOT_FIT, NOT_A_NUMBER, exact_number, number_fault
 from shelfmark.functions.text import (
     MISSING_CONTACT, blank_to_null, email_flag, email_strict, format_phone, name_case,
 )
@@ -28,6 +29,9 @@ CATALOGUE_DEFAULTS = {
     "variations": "No Variants",
 }
 
+# Digits before and after the point that an item's numbers may have.
+ITEM_NUMBERS = {"quantity": (8, 6), "unit_price": (8, 6), "discount_percent": (3, 6)}
+
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, str | int | float],
                   flags: Mapping[str, str] | None = None) -> DataFrame:
@@ -85,35 +89,36 @@ def clean_orders(orders: DataFrame, as_of: Column) -> DataFrame:
     }).filter(F.col("order_date") <= as_of)
 
 
-def _whole(text: Column) -> Column:
-    number = text.try_cast("decimal(18,4)")
-    return F.when(number == F.floor(number), number.try_cast("int"))
+def judged_items(items: DataFrame) -> DataFrame:
+    """Items with their numbers typed and `fault`, the first rule an item breaks (NULL for a good one).
+
+    The rules judge the numbers as they are spelled, down to the last digit. A number that the column types cannot hold
+    exactly is NULL with the fault `does_not_fit`, text that is no number NULL with `not_a_number`.
+    """
+    # In two steps, so that each number is read once.
+    text = {c: F.col(c).cast("string") for c in ITEM_NUMBERS}
+    read = items.withColumns({f"_{c}": exact_number(text[c], *digits) for c, digits in ITEM_NUMBERS.items()})
+    quantity, price, discount = (F.col(f"_{c}") for c in ITEM_NUMBERS)
+    spelled = [number_fault(text[c], F.col(f"_{c}")) for c in ITEM_NUMBERS]
+    any_of = lambda fault: F.array_contains(F.array(*spelled), fault)
+    fault = (
+        F.when(quantity.isNull() | price.isNull() | discount.isNull(),
+               F.when(any_of(NOT_A_NUMBER), NOT_A_NUMBER).otherwise(DOES_NOT_FIT))
+        .when(quantity == 0, "zero_quantity")
+        .when(price <= 0, "non_positive_price")
+        .when(~discount.between(0, 100), "discount_out_of_range")
+    )
+    return read.withColumn("fault", fault).withColumns({c: F.col(f"_{c}") for c in ITEM_NUMBERS}).drop(*(f"_{c}" for c in ITEM_NUMBERS))
 
 
 def typed_items(items: DataFrame) -> DataFrame:
-    """Item text as numbers; what does not parse, or does not fit, becomes NULL."""
-    return items.withColumns({
-        "quantity": _whole(F.col("quantity")),
-        "unit_price": F.col("unit_price").try_cast(MONEY),
-        "discount_percent": F.col("discount_percent").try_cast(PERCENT),
-    })
-
-
-def item_fault() -> Column:
-    """The first rule a typed item breaks, NULL for a good one."""
-    quantity, price, discount = (F.col(c) for c in ("quantity", "unit_price", "discount_percent"))
-    return (
-        F.when(quantity.isNull() | price.isNull() | discount.isNull(), F.lit("not_a_number"))
-        .when(quantity == 0, F.lit("zero_quantity"))
-        .when(price <= 0, F.lit("non_positive_price"))
-        .when(~discount.between(0, 100), F.lit("discount_out_of_range"))
-    )
+    """Item text as numbers; what is none, or does not fit exactly, becomes NULL."""
+    return judged_items(items).drop("fault")
 
 
 def clean_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """One row per item, numeric, in range, and pointing at a clean order and product."""
-    typed = typed_items(dedupe_by_key(items, ["item_id"]))
-    sound = typed.filter(item_fault().isNull())
+    """One row per item, numeric, in range, and pointing at a clean order and product. Numbers keep all their digits."""
+    sound = judged_items(dedupe_by_key(items, ["item_id"])).filter(F.col("fault").isNull())
     known = referenced(referenced(sound, orders, "order_id"), products, "product_id")
     return known.select("item_id", "order_id", "product_id", "quantity", "unit_price", "discount_percent")
 
@@ -130,12 +135,12 @@ def quarantine_order_items(items: DataFrame, orders: DataFrame, products: DataFr
     survives = F.struct(*rest, "_copies").eqNullSafe(F.col("_first")).alias("_survives")
     tagged = distinct_rows.join(survivor, "item_id").select(*columns, "_copies", survives, F.struct(*columns).alias("_raw"))
     flagged = (
-        typed_items(tagged)
+        judged_items(tagged)
         .join(orders.select("order_id", F.lit(True).alias("_order")), "order_id", "left")
         .join(products.select("product_id", F.lit(True).alias("_product")), "product_id", "left")
     )
     reason = F.when(F.col("_survives"), F.coalesce(
-        item_fault(),
+        F.col("fault"),
         F.when(F.col("_order").isNull(), F.lit("unknown_order")),
         F.when(F.col("_product").isNull(), F.lit("unknown_product")),
     ))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.dates import month_key
-from shelfmark.functions.money import MONEY, PERCENT, discounted
+from shelfmark.functions.money import discounted
 
 LINE_MONEY = "decimal(18,6)"
 
@@ -17,10 +17,10 @@ def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Items with the attributes of their order and the line measures, without product columns.
 
     The cheap form of `line_facts`: jobs that need product attributes add them after they have
-    summed the lines per product. Items must have passed `clean_order_items`.
+    summed the lines per product. Items must have passed `clean_order_items`; their exact DECIMALs are taken as they
+    are, and the line value is rounded once.
     """
-    price = F.col("unit_price").cast(MONEY)
-    line_value = discounted(F.col("quantity") * price, F.col("discount_percent").cast(PERCENT)).cast(LINE_MONEY)
+    line_value = discounted(F.col("quantity") * F.col("unit_price"), F.col("discount_percent")).cast(LINE_MONEY)
     returned = F.col("quantity") < 0
     zero = F.lit(0).cast(LINE_MONEY)
     net = F.col("net_revenue")

@@ -88,13 +88,14 @@ class OrphanError(ValueError):
     """Rows point at a parent that does not exist."""
 
 
-def append_checked(rows: DataFrame, name: str, key: str, references: Sequence[quality.Reference]) -> None:
-    """Append new rows to a table after checking their foreign keys; nothing is written if one fails."""
+def append_checked(rows: DataFrame, name: str, key: str, references: Sequence[quality.Reference]) -> DataFrame:
+    """Append new rows to a table after checking their foreign keys, all or none: nothing is written if one fails. Returns the
+    rows that `tables.append_new_rows` rejects for their key; with the references given there, orphans are rejected one by one instead."""
     for ref in references:
         missing = joins.orphan_count(rows, ref.column, ref.parent, ref.parent_key, count_null=False).first()["violations"]
         if missing:
             raise OrphanError(f"{missing} rows for {name} have no {ref.column}")
-    tables.append_new_rows(rows, name, key)
+    return tables.append_new_rows(rows, name, key)
 
 
 def remove_duplicates(spark: SparkSession, name: str, key: str, folder: str) -> None:

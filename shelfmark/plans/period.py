@@ -51,13 +51,12 @@ def period_comparison(rev: DataFrame, start: date, end: date) -> DataFrame:
     before_start, before_end = previous_window(start, end)
     both = rev.filter(_between(before_start, end))
     window = F.when(F.col("order_date") >= F.lit(start), F.lit("current")).otherwise(F.lit("previous"))
-    # Lines become one row per order first, so that the distinct counts multiply short rows only.
+    # An order has one customer, so orders are counted while their lines are merged, and customers while their orders are:
+    # window, order and customer first, then window and customer, then the window.
     orders = both.groupBy(window.alias("_window"), "order_id", "customer_id").agg(F.sum("net_revenue").alias("_net"))
-    measures = orders.groupBy("_window").agg(
-        F.count_distinct("order_id").alias("orders"),
-        total(F.col("_net")).alias("revenue"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-    )
+    customers = orders.groupBy("_window", "customer_id").agg(F.count("order_id").alias("_orders"), F.sum("_net").alias("_net"))
+    measures = customers.groupBy("_window").agg(
+        F.sum("_orders").alias("orders"), total(F.col("_net")).alias("revenue"), F.count("customer_id").alias("unique_customers"))
     names = ("orders", "revenue", "unique_customers")
 
     def of(window_name: str, measure: str) -> Column:

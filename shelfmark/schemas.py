@@ -4,10 +4,10 @@ leading zeros; money is DECIMAL."""
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    BooleanType, DataType, DateType, DecimalType, DoubleType, IntegerType, StringType, StructField, StructType,
+    BooleanType, DataType, DateType, DecimalType, IntegerType, StringType, StructField, StructType,
 )
 
-INT, TEXT, DATE, FLAG, DOUBLE = IntegerType(), StringType(), DateType(), BooleanType(), DoubleType()
+INT, TEXT, DATE, FLAG = IntegerType(), StringType(), DateType(), BooleanType()
 
 
 def _schema(required: tuple[str, ...] = (), **columns: DataType) -> StructType:
@@ -43,27 +43,7 @@ SUPERSTORE = _schema(
     quantity=INT, discount=DecimalType(4, 2), profit=DecimalType(14, 4), total_amount=DecimalType(14, 2),
 )
 
-SALES_SAMPLE = _schema(
-    order_id=INT, order_date=TEXT, customer_name=TEXT, region=TEXT, category=TEXT, quantity=INT,
-    unit_price=DOUBLE, sales=DOUBLE, discount=DOUBLE, returned=TEXT, required=("order_id",),
-)
-
-# E-commerce tables as they arrive (all text) and after cleaning.
-STORE_RAW = {
-    "customers": _schema(
-        customer_id=TEXT, customer_name=TEXT, email=TEXT, registration_date=TEXT, customer_type=TEXT,
-        region_code=TEXT,
-    ),
-    "products": _schema(
-        product_id=TEXT, product_name=TEXT, category=TEXT, subcategory=TEXT, cost_price=TEXT,
-    ),
-    "orders": _schema(
-        order_id=TEXT, customer_id=TEXT, order_date=TEXT, status=TEXT, region_code=TEXT,
-    ),
-    "order_items": _schema(
-        item_id=TEXT, order_id=TEXT, product_id=TEXT, quantity=TEXT, unit_price=TEXT, discount_percent=TEXT,
-    ),
-}
+# E-commerce tables after cleaning.
 STORE_CLEAN = {
     "customers": _schema(
         customer_id=TEXT, customer_name=TEXT, email=TEXT, registration_date=DATE, customer_type=TEXT,
@@ -80,8 +60,8 @@ STORE_CLEAN = {
         required=("order_id", "order_date", "status", "region_code", "is_guest"),
     ),
     "order_items": _schema(
-        item_id=TEXT, order_id=TEXT, product_id=TEXT, quantity=INT, unit_price=DecimalType(12, 2),
-        discount_percent=DecimalType(5, 2),
+        item_id=TEXT, order_id=TEXT, product_id=TEXT, quantity=DecimalType(14, 6), unit_price=DecimalType(14, 6),
+        discount_percent=DecimalType(9, 6),
         required=("item_id", "order_id", "product_id", "quantity", "unit_price", "discount_percent"),
     ),
 }
@@ -94,20 +74,27 @@ LAKE = {
     ),
     "products": _schema(
         product_id=TEXT, product_name=TEXT, category=TEXT, cost_price=DecimalType(10, 2),
-        selling_price=DecimalType(10, 2), required=("product_id",),
+        selling_price=DecimalType(10, 2),
+        required=("product_id", "product_name", "category", "cost_price", "selling_price"),
     ),
     "orders": _schema(
         order_id=TEXT, customer_id=TEXT, product_id=TEXT, quantity=INT, unit_price=DecimalType(10, 2),
         total_amount=DecimalType(10, 2), order_date=DATE, status=TEXT, payment_method=TEXT,
-        required=("order_id",),
+        required=("order_id", "customer_id", "product_id", "quantity", "unit_price", "total_amount", "order_date", "status"),
     ),
     "payments": _schema(
         payment_id=TEXT, order_id=TEXT, card_number=TEXT, cvv=TEXT, amount=DecimalType(10, 2),
-        payment_date=DATE, payment_status=TEXT, required=("payment_id",),
+        payment_date=DATE, payment_status=TEXT,
+        required=("payment_id", "order_id", "amount", "payment_date", "payment_status"),
     ),
 }
 
 
+def required(schema: StructType) -> list[str]:
+    """The NOT NULL columns."""
+    return [f.name for f in schema.fields if not f.nullable]
+
+
 def all_text(schema: StructType) -> StructType:
     """The same columns, all as text."""
     return StructType([StructField(f.name, TEXT) for f in schema.fields])

@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.operators.dedupe import dedupe_by_key
+from shelfmark.operators.quality import Reference, judge_batch
+from shelfmark.session import fresh_path
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None,
@@ -37,13 +38,19 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def append_new_rows(rows: DataFrame, name: str, key: str) -> None:
-    """Append the rows whose key the table does not hold yet; a second run adds nothing. Of a key that the batch
-    repeats one row is taken, and rows without a key are refused, since they could never be found again."""
+def append_new_rows(rows: DataFrame, name: str, key: str, references: Sequence[Reference] = ()) -> DataFrame:
+    """Append to a table what `judge_batch` accepts of a batch and return the rejected rows with `reject_reason` and `copies`: rows
+    appended plus copies rejected equal the batch. A second run appends nothing.
+
+    The verdicts are written to the shared folder before the table changes, so both parts are those of one judgement.
+    """
     spark = rows.sparkSession
-    known = spark.table(name).select(key)
-    batch = dedupe_by_key(rows.filter(F.col(key).isNotNull()), [key])
-    batch.join(known, key, "left_anti").select(*spark.table(name).columns).write.mode("append").insertInto(name)
+    columns = spark.table(name).columns
+    stage = fresh_path(spark, "append")
+    judge_batch(rows.select(*columns), spark.table(name), key, references).write.parquet(stage)
+    judged = spark.read.parquet(stage)
+    judged.filter(F.col("reject_reason").isNull()).select(*columns).write.mode("append").insertInto(name)
+    return judged.filter(F.col("reject_reason").isNotNull())
 
 
 def replace_table(df: DataFrame, name: str, folder: str) -> None:

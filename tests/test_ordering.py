@@ -80,3 +80,34 @@ def test_empty_input(spark):
     empty = spark.createDataFrame([], "id int, value decimal(18,2)")
     assert ordering.number_rows(empty, best_first(), running=["value"]).collect() == []
     assert ordering.ranked_top(empty, "value", 10, "rank").collect() == []
+
+
+def keys():
+    return [ordering.Key("value", descending=True), ordering.Key("id")]
+
+
+@pytest.mark.parametrize("slices", [None, 1, 6, 40])
+def test_running_sums(scores, slices):
+    got = {r["id"]: (r["row_number"], r["row_count"], r["running_value"], r["total_value"])
+           for r in ordering.running_sums(scores, keys(), ["value"], slices).collect()}
+    rows = sorted(((r["id"], r["value"]) for r in scores.collect()), key=lambda r: (-r[1], r[0]))
+    total, so_far = sum(v for _, v in rows), D(0)
+    for place, (key, value) in enumerate(rows, 1):
+        so_far += value
+        assert got[key] == (place, len(rows), so_far, total)
+
+
+def test_a_hot_value_is_cut_into_slices(scores):
+    """A third of the rows share a value; the bounds go on to the next key inside it."""
+    base = scores
+    bounds = ordering._bounds(base, keys(), 12)
+    own = F.struct(*(c.alias(f"_{i}") for i, c in enumerate(c for k in keys() for c in k.comparable())))
+    sizes = base.groupBy(F.size(F.filter(F.array(*bounds), lambda b: b <= own)).alias("s")).count().collect()
+    assert len(sizes) >= 10 and max(r["count"] for r in sizes) < 3 * base.count() / 12
+
+
+def test_running_sums_with_nulls_and_without_rows(spark):
+    df = spark.createDataFrame([(1, None), (2, D(3)), (3, D(5)), (None, D(4))], "id int, value decimal(18,2)")
+    got = {r["id"]: (r["row_number"], r["running_value"]) for r in ordering.running_sums(df, keys(), ["value"], 3).collect()}
+    assert got == {3: (1, D(5)), None: (2, D(9)), 2: (3, D(12)), 1: (4, D(12))}
+    assert ordering.running_sums(df.limit(0), keys(), ["value"]).collect() == []

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import registry
-from shelfmark.operators import joins
+from shelfmark.operators import joins, ordering
 from shelfmark.plans import customers, facts
 from tests.conftest import SMALL, physical
 
@@ -96,3 +96,50 @@ def test_hot_customer_days_meet_no_order_window(spark):
     window = next(i for i, line in enumerate(lines) if "Window [" in line)
     aggregate = next(i for i, line in enumerate(lines) if "Aggregate(keys=[customer_id" in line)
     assert window < aggregate and "order_date" in lines[aggregate]
+
+
+# Work that is done once --------------------------------------------------------------------------
+
+def scans(plan: str) -> int:
+    return plan.split("== Initial Plan ==")[0].count("FileScan")
+
+
+def before_checkpoints(monkeypatch, *modules):
+    """Make `durable` pass its input on, so that a plan shows what stands before a checkpoint too."""
+    for module in modules:
+        monkeypatch.setattr(module, "durable", lambda df: df)
+
+
+def test_best_line_per_customer_reads_the_lines_once(spark):
+    plan = physical(registry.queries()["top_order_per_customer_10"](spark, SMALL))
+    assert "WindowGroupLimit" in plan and "SortMergeJoin [customer_id" not in plan
+    # Once each: lines, orders, customers, nations, regions, parts (some are pruned away).
+    assert scans(plan) <= 6
+
+
+def test_customer_sums_are_computed_once(spark, monkeypatch):
+    """The stored sums are what both the best values and the result read: no scan of a table is left after them."""
+    for name in ("top_customers_ranked", "bottom_customers_ranked"):
+        assert scans(physical(registry.queries()[name](spark, SMALL))) == 0, name
+    stored = []
+    durable = ordering.durable
+    monkeypatch.setattr(ordering, "durable", lambda df: stored.append(df) or durable(df))
+    registry.queries()["top_customers_ranked"](spark, SMALL)
+    assert len(stored) == 1
+
+
+def test_running_sums_take_one_exchange_and_one_sort(spark, monkeypatch):
+    """From the input of the checkpoint on: one exchange of the rows, by slice, none by range."""
+    before_checkpoints(monkeypatch, ordering)
+    df = spark.range(0, 5000, 1, 5).select("id", (F.col("id") % 97).cast("decimal(18,2)").alias("value"))
+    plan = physical(ordering.running_sums(df, [ordering.Key("value", descending=True), ordering.Key("id")], ["value"], slices=6))
+    lines = plan.splitlines()
+    exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(_slice" in line]
+    of_rows = [i for i in exchanges if "partial_" not in lines[i + 1]]
+    assert len(of_rows) == 1 and "rangepartitioning" not in plan
+    # The other exchanges carry a row per slice.
+    assert len(exchanges) == 2 and plan.count("Exchange SinglePartition") == 1
+
+
+def test_period_comparison_multiplies_no_rows(spark):
+    assert "Expand" not in physical(registry.queries()["period_comparison"](spark, SMALL))
