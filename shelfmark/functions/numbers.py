@@ -9,24 +9,25 @@ NOT_A_NUMBER = "not_a_number"
 DOES_NOT_FIT = "does_not_fit"
 
 _NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
-# Numbers of which a DECIMAL(38,18) loses no digit.
+# Numbers with an exponent of which a DECIMAL(38,18) loses no digit.
 _WIDE = "decimal(38,18)"
-_WITHIN_WIDE = r"^\s*[+-]?[0-9]*\.?(?:[0-9]{0,18}|[0-9]{0,9}[eE][+-]?0*[0-9])\s*$"
+_SCIENTIFIC = r"^\s*[+-]?(?=\.?[0-9])[0-9]*\.?[0-9]{0,9}[eE][+-]?0*[0-9]\s*$"
 
 
 def exact_number(text: Column, whole: int, places: int) -> Column:
     """The number that `text` spells, as DECIMAL with `whole` digits before and `places` after the point; NULL where it spells
     none, or one that this DECIMAL does not hold exactly (see `number_fault`).
 
-    Blanks around a number, a sign and an exponent are allowed; `nan` and `inf` are no numbers. A number spelled with more than
-    18 places, or with an exponent and either beyond nine, counts as one that does not fit.
+    Blanks around a number, a sign and an exponent are allowed, and zeros at its ends are no digits; `nan` and `inf` are no
+    numbers. A number spelled with an exponent, and either that or its places beyond nine, counts as one that does not fit.
     """
     kind = f"decimal({whole + places},{places})"
-    after = rf"(?:\.[0-9]{{1,{places}}})?" if places else ""
-    plain = text.rlike(rf"^[+-]?[0-9]{{1,{max(whole, 1)}}}{after}$")
-    wide, narrow = text.try_cast(_WIDE), text.try_cast(_WIDE).try_cast(kind)
-    exact = text.rlike(_NUMBER) & text.rlike(_WITHIN_WIDE) & (wide == narrow)
-    return F.when(plain, text.try_cast(kind)).when(exact, narrow)
+    before = f"0*[0-9]{{0,{whole}}}" if whole else "0*"
+    after = f"[0-9]{{0,{places}}}0*" if places else "0*"
+    fits = text.rlike(rf"^\s*[+-]?(?=\.?[0-9]){before}(?:\.{after})?\s*$")
+    wide = text.try_cast(_WIDE)
+    narrow = wide.try_cast(kind)
+    return F.when(fits, text.try_cast(kind)).when(text.rlike(_SCIENTIFIC) & (wide == narrow), narrow)
 
 
 def number_fault(text: Column, value: Column) -> Column:
