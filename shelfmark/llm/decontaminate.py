@@ -3,13 +3,15 @@
 Every benchmark item gets a 64-bit SimHash of its word shingles, and so does every window of that size in every
 document. The fingerprint is cut into blocks; if two fingerprints differ in at most RADIUS bits, they differ in at most
 RADIUS // BLOCKS bits in one block at least, so looking up every block value near an item's own finds all windows within the
-radius. What is found is verified by the exact weighted similarity of the shingles.
+radius. A block value leads to the items that have one near it, so a window is compared with those alone. What is found is
+verified by the exact weighted similarity of the shingles.
 
 An edited copy may differ in more bits, or in the words that a shorter window leaves out. So every window of an item's own
 length that holds one of the item's rare shingles, a fifth of its weight, is compared as well: without all of these a window
 cannot have the similarity.
 
-Documents are read once and nothing is shuffled. The benchmark goes to the tasks in parts of bounded size.
+Documents are read once for each part and not shuffled. Weights come from the whole benchmark, which goes to the tasks in parts of
+bounded size.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import CACHE_ENTRIES, ROWS_AT_ONCE, as_bytes, small_batches, window_hashes
+from shelfmark.llm.common import CACHE_ENTRIES, ROWS_AT_ONCE, as_bytes, small_batches, stored, window_hashes
+from shelfmark.operators.ordering import number_rows
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -117,28 +120,55 @@ class Size:
     prints: np.ndarray
     near: np.ndarray  # block number, block value -> whether some item has a value near it there
 
+    def __post_init__(self) -> None:
+        # For each block the values near some item's in order, and which items those are: of one value in `members` from its start on.
+        masks = np.array(near_values(0, RADIUS // BLOCKS), np.uint16)
+        self.lists = []
+        for row in self.prints.view(np.uint16).reshape(-1, BLOCKS).T:
+            pairs = (row[:, None] ^ masks[None]).ravel()
+            order = np.argsort(pairs, kind="stable")
+            values, starts = np.unique(pairs[order], return_index=True)
+            self.lists.append((values, np.append(starts, len(pairs)), (order // len(masks)).astype(np.int32)))
+
+    def candidates(self, prints: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(block, windows, places of items) that have near values in the block. Only these are compared: of unlike fingerprints
+        one pair in 480 a block."""
+        parts = prints.view(np.uint16).reshape(-1, BLOCKS)
+        for b, (values, starts, members) in enumerate(self.lists):
+            hit = np.flatnonzero(self.near[b][parts[:, b]])
+            for i in range(0, len(hit), TILE):
+                at = hit[i:i + TILE]
+                place = np.searchsorted(values, parts[at, b])
+                count = starts[place + 1] - starts[place]
+                first = np.cumsum(count) - count
+                yield b, np.repeat(at, count), members[np.arange(count.sum()) + np.repeat(starts[place] - first, count)]
+
     def hits(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(window, item, distance) of all pairs within the radius."""
-        parts = prints.view(np.uint16).reshape(-1, BLOCKS)
-        any_near = self.near[0][parts[:, 0]]
-        for b in range(1, BLOCKS):
-            any_near = any_near | self.near[b][parts[:, b]]
-        at = np.flatnonzero(any_near)
         found = []
-        for i in range(0, len(at), TILE):
-            distance = np.bitwise_count(prints[at[i:i + TILE], None] ^ self.prints[None, :])
-            window, item = np.nonzero(distance <= RADIUS)
-            found.append((at[i + window], self.items[item], distance[window, item]))
-        return tuple(np.concatenate(x) for x in zip(*found)) if found else (at, at, at)
+        for block, at, place in self.candidates(prints):
+            differing = prints[at] ^ self.prints[place]
+            distance = np.bitwise_count(differing)
+            close = np.flatnonzero(distance <= RADIUS)
+            earlier = np.bitwise_count(differing[close].view(np.uint16).reshape(-1, BLOCKS)[:, :block])
+            close = close[(earlier > RADIUS // BLOCKS).all(1)]  # the others were found in an earlier block
+            found.append((at[close], self.items[place[close]], distance[close]))
+        empty = np.empty(0, np.int64)
+        return tuple(np.concatenate(x) for x in zip(*found)) if found else (empty, empty, empty)
 
 
 class Benchmark:
-    """Items as shingle counts and fingerprints, by window size."""
+    """Items as shingle counts and fingerprints, by window size.
+
+    `total` is the number of items of the whole benchmark and `frequency` in how many of them a shingle is found; of a part of
+    a benchmark they must be those of the whole, so that an item has the same weights in any part. Without them the items are the whole.
+    """
 
-    def __init__(self, items: Sequence[tuple[int, np.ndarray]]) -> None:
+    def __init__(self, items: Sequence[tuple[int, np.ndarray]], total: int | None = None, frequency: dict[int, int] | None = None) -> None:
         self.items = [(i, words) for i, words in items if len(words)]
         self.counts = [Counter(shingles(w).tolist()) for _, w in self.items]
-        self.frequency = Counter(s for c in self.counts for s in c)
+        self.total = len(self.items) if total is None else total
+        self.frequency = Counter(s for c in self.counts for s in c) if frequency is None else frequency
         grid = [1]
         while self.items and grid[-1] < max(len(w) for _, w in self.items):
             grid.append(max(grid[-1] + 1, grid[-1] + grid[-1] // SIZE_STEP))
@@ -186,7 +216,7 @@ class Benchmark:
 
     def weight(self, shingle: int) -> float:
         """Shingles that many items share say less."""
-        return 1.0 + float(np.log((1 + len(self.items)) / (1 + self.frequency.get(shingle, 0))))
+        return 1.0 + float(np.log((1 + self.total) / (1 + self.frequency.get(shingle, 0))))
 
     def similarity(self, item: int, words: np.ndarray) -> float:
         """Weighted sizes of the intersection and union of two bags of shingles."""
@@ -315,19 +345,43 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found if found is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def _parts(benchmark: DataFrame) -> Iterator[Benchmark]:
+def prepared(benchmark: DataFrame, at_once: int) -> DataFrame:
+    """The items that have words, stored: part, item_id, words, shingles, frequencies (of each shingle, among all items). Parts follow
+    item_id and hold about `at_once` words each, an item whole."""
+    spark = benchmark.sparkSession
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain = PlainWords()
+        for batch in small_batches(batches):
+            words = [plain.of(t) for t in as_bytes(batch.column(1))]
+            kinds = [np.unique(shingles(w)) for w in words]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(w) for w in words], pa.int64()), pa.array([w.view(np.int64) for w in words], pa.list_(pa.int64())),
+                 pa.array([k.view(np.int64) for k in kinds], pa.list_(pa.int64()))], names=["item_id", "n_words", "words", "kinds"])
+
+    coded = benchmark.select(benchmark["item_id"].cast("long"), benchmark["text"]).mapInArrow(
+        code, "item_id long, n_words long, words array<long>, kinds array<long>").where("n_words > 0")
+    items = stored(coded.withColumn("row", F.monotonically_increasing_id()), "items")
+    places = items.select("row", F.explode("kinds").alias("shingle"))
+    frequency = places.groupBy("shingle").agg(F.count("*").alias("found"))
+    known = places.join(frequency, "shingle").groupBy("row").agg(F.collect_list(F.struct("shingle", "found")).alias("known"))
+    order = [F.col("item_id").asc_nulls_first(), F.col("row")]
+    parted = number_rows(items.select("item_id", "row", "n_words"), order, ["n_words"]).select(
+        "row", F.expr(f"(running_n_words - n_words) div {at_once}").cast("int").alias("part"), F.col("row_count").alias("total"))
+    return stored(items.join(parted, "row").join(known, "row").select(
+        "part", "total", "item_id", "row", "words", F.col("known.shingle").alias("shingles"), F.col("known.found").alias("frequencies")), "benchmark")
+
+
+def _parts(benchmark: DataFrame, at_once: int | None = None) -> Iterator[Benchmark]:
     """The items in parts of ITEM_WORDS_AT_ONCE words, so that what a task is sent has a bound; each part is one more read of
-    the documents."""
-    plain, held, size = PlainWords(), [], 0
-    for row in benchmark.select(benchmark["item_id"].cast("long"), benchmark["text"]).toLocalIterator():
-        words = plain.of((row[1] or "").encode("utf-8", "surrogatepass"))
-        if held and size + len(words) > ITEM_WORDS_AT_ONCE:
-            yield Benchmark(held)
-            held, size = [], 0
-        held.append((row[0], words))
-        size += len(words)
-    if held:
-        yield Benchmark(held)
+    the documents. Weights are those of the whole benchmark, so the parts change no result."""
+    items = prepared(benchmark, at_once or ITEM_WORDS_AT_ONCE)
+    last = items.agg(F.max("part")).first()[0]
+    for part in range(-1 if last is None else last, -1, -1):
+        rows = items.where(F.col("part") == part).orderBy("item_id", "row").collect()
+        if rows:  # a part is empty where a long item goes beyond it
+            frequency = {s % (1 << 64): n for r in rows for s, n in zip(r.shingles, r.frequencies)}
+            yield Benchmark([(r.item_id, np.array(r.words, np.int64).view(np.uint64)) for r in rows], rows[0].total, frequency)
 
 
 def _search(docs: DataFrame, benchmark: Benchmark, schema: str) -> DataFrame:

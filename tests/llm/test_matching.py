@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -252,6 +252,68 @@ def test_items_edited_to_just_the_similarity_are_found():
     assert len(want) > 100 and got == want
 
 
+def test_parts_of_the_benchmark_change_no_result(spark, monkeypatch):
+    """Items that share openings, so that weights differ from item to item, in parts of three sizes and in any order of rows."""
+    rng = random.Random(12)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    opening = words(14)
+    items = [(i, opening[:rng.randrange(8, 15)] + words(rng.randrange(60, 75))) for i in range(90)]
+    docs = []
+    for i, item in items:
+        edited = list(item)
+        edited[rng.randrange(16, len(item))] = "changed"
+        docs.append((i, " ".join(words(10) + edited + words(5))))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    found = []
+    for at_once, order in ((200_000, "item_id"), (3000, "item_id"), (1000, "text")):
+        monkeypatch.setattr(decontaminate, "ITEM_WORDS_AT_ONCE", at_once)
+        rows = decontaminate.contaminated(docs, bench.orderBy(order)).collect()
+        found.append(sorted((r.doc_id, r.item_id, r.start, r.n_words, r.hamming, round(r.similarity, 12)) for r in rows))
+        kept = {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()}
+        assert kept == {i for i, _ in items} - {r[0] for r in found[-1]}
+    assert len(found[0]) > 40 and found[0] == found[1] == found[2]
+
+
+def test_block_lists_keep_most_pairs_from_being_compared():
+    """5,000 items of one size: a window meets about one in 120 of them, and none within the radius is lost."""
+    rng = np.random.default_rng(8)
+    prints = rng.integers(0, 2**63, 5000).astype(np.uint64) * np.uint64(2) + rng.integers(0, 2, 5000).astype(np.uint64)
+    near = np.zeros((decontaminate.BLOCKS, 1 << 16), bool)
+    for b, row in enumerate(prints.view(np.uint16).reshape(-1, 4).T):
+        for v in set(row.tolist()):
+            near[b, decontaminate.near_values(v, decontaminate.RADIUS // decontaminate.BLOCKS)] = True
+    size = decontaminate.Size(50, np.arange(5000), prints, near)
+    windows = rng.integers(0, 2**63, 2000).astype(np.uint64)
+    windows[::10] = prints[:200] ^ np.uint64(0b1000010000100)
+    compared = sum(len(at) for _, at, _ in size.candidates(windows))
+    assert compared < 2000 * 5000 / 80
+    full = np.nonzero(np.bitwise_count(windows[:, None] ^ prints[None]) <= decontaminate.RADIUS)
+    at, item, _ = size.hits(windows)
+    assert sorted(zip(at.tolist(), item.tolist())) == sorted(zip(*(x.tolist() for x in full)))
+
+
+def test_all_similar_windows_match_brute_force(spark, documents):
+    """Every window of an item's own length in every document that shares a shingle with it, by the exact similarity."""
+    plain_words = decontaminate.PlainWords()
+    bench = decontaminate.Benchmark([(r.item_id, plain_words.of(r.text.encode())) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()])
+    holders = {}
+    for k, counts in enumerate(bench.counts):
+        for s in counts:
+            holders.setdefault(s, []).append(k)
+    want = {}
+    for doc, text in documents:
+        words = plain_words.of((text or "").encode())
+        met = Counter(k for s in set(decontaminate.shingles(words).tolist()) for k in holders.get(s, ()))
+        for k in met:
+            n = len(bench.items[k][1])
+            best = max((bench.similarity(k, words[s:s + n]), -s) for s in range(max(1, len(words) - n + 1)))
+            if best[0] >= decontaminate.SIMILARITY:
+                want[doc, bench.items[k][0]] = (round(best[0], 9), -best[1])
+    got = {(r.doc_id, r.item_id): (round(r.similarity, 9), r.start) for r in queries.op6_simhash_windows(spark, DATA).collect()}
+    assert want and got == want
+
+
 def test_leaks_of_awkward_rows(spark, awkward, nothing):
     bench = spark.createDataFrame([(1, "one two three"), (1, "one two three"), (2, "a b c a b c a b c")], "item_id long, text string")
     rows = decontaminate.contaminated(awkward, bench).collect()
