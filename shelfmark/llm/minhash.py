@@ -35,9 +35,7 @@ ROWS = 6
 BINS = BANDS * ROWS
 ROUNDS = 3
 SETS_HELD = 32
-# Shingles are counted by slots of their hash. Any order gives all pairs, a rough one only more candidates.
-SLOTS = 1 << 16
-PIECES = 64
+BLOCK_MEMBERS = 2000  # aimed at: larger sets of a shingle in one block
 
 
 @lru_cache(maxsize=1)
@@ -95,6 +93,11 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return key
 
 
+def _name(found: np.ndarray) -> np.ndarray:
+    """128 bits that name a shingle set."""
+    return np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64)
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n_shingles, set_a and set_b (128 bits that name the shingle set), bands. Empty sets have no bands."""
 
@@ -105,7 +108,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
             for text in as_bytes(batch.column(1)):
                 found = shingle_set(text, width, hashes)
                 sizes.append(len(found))
-                names.append(np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64))
+                names.append(_name(found))
                 bands.append(signed(band_keys(signature(found))) if len(found) else np.empty(0, np.int64))
             named = np.stack(names) if names else np.empty((0, 2), np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -116,20 +119,41 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
         run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
 
 
+def _texts(docs: DataFrame, wanted: DataFrame, width: int, shared: DataFrame) -> DataFrame:
+    """node and text, one row for each wanted class (node, rep, set_a, set_b). A doc_id of several rows may have several texts, so
+    of those in `shared` (doc_id) the shingle set tells the class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = worker_hashes()
+        for batch in small_batches(batches):
+            named = [_name(shingle_set(t, width, hashes)) for t in as_bytes(batch.column(1))]
+            names = np.stack(named) if named else np.empty((0, 2), np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names[:, 0]), pa.array(names[:, 1]), batch.column(1)],
+                                             names=["rep", "set_a", "set_b", "text"])
+
+    texts = docs.select(docs["doc_id"].cast("long").alias("rep"), docs["text"])
+    ids = shared.select(F.col("doc_id").alias("rep"))
+    alone = texts.join(wanted.join(ids, "rep", "left_anti").select("node", "rep"), "rep").select("node", "text")
+    several = texts.join(wanted.join(ids, "rep", "left_semi").select("rep").distinct(), "rep", "left_semi").mapInArrow(
+        run, "rep long, set_a long, set_b long, text string")
+    told = several.join(wanted, ["rep", "set_a", "set_b"]).groupBy("node").agg(F.min("text").alias("text"))
+    return stored(alone.unionByName(told), "texts")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have at least `percent` of their union in common."""
+    """The pairs (a, b) of nodes whose full shingle sets have at least `percent` of their union in common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = worker_hashes()
         sets: OrderedDict[int, np.ndarray] = OrderedDict()
 
-        def of(doc: int, text: bytes) -> np.ndarray:
-            if doc not in sets:
-                sets[doc] = shingle_set(text, width, hashes)
+        def of(node: int, text: bytes) -> np.ndarray:
+            if node not in sets:
+                sets[node] = shingle_set(text, width, hashes)
                 if len(sets) > SETS_HELD:
                     sets.popitem(last=False)
-            sets.move_to_end(doc)
-            return sets[doc]
+            sets.move_to_end(node)
+            return sets[node]
 
         for batch in small_batches(batches):
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -140,78 +164,56 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
                 keep.append(100 * shared >= percent * (len(u) + len(v) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _frequency(texts: DataFrame, width: int) -> np.ndarray:
-    """In how many texts a shingle of each slot is found. A task sends its counts in PIECES rows, however many texts it has."""
+def _tokens(texts: DataFrame, width: int) -> DataFrame:
+    """node, component, n (size of the set) and token, one row for each shingle of each text (node, component, text)."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = worker_hashes(), np.zeros(SLOTS, np.int64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = worker_hashes()
         for batch in small_batches(batches):
-            for text in as_bytes(batch.column(0)):
-                total += np.bincount(_slot(shingle_set(text, width, hashes)), minlength=SLOTS)
-        if total.any():
+            sets = [shingle_set(text, width, hashes) for text in as_bytes(batch.column(2))]
+            sizes = np.array([len(found) for found in sets], np.int64)
+            at = pa.array(np.repeat(np.arange(len(sets)), sizes))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(PIECES), pa.int32()), pa.array([x.tobytes() for x in np.split(total, PIECES)], pa.binary())], names=["piece", "counts"])
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_py(), np.int64) for x in table.column("counts"))
-        return pa.table({"piece": table.column("piece").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
-
-    schema = "piece int, counts binary"
-    pieces = texts.select("text").mapInArrow(count, schema).groupBy("piece").applyInArrow(add, schema).collect()
-    found = np.zeros((PIECES, SLOTS // PIECES), np.int64)
-    for row in pieces:
-        found[row.piece] = np.frombuffer(row.counts, np.int64)
-    return found.ravel()
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.repeat(sizes, sizes)),
+                 pa.array(signed(np.concatenate(sets)) if sets else np.empty(0, np.int64))], names=["node", "component", "n", "token"])
 
-
-def _slot(shingles: np.ndarray) -> np.ndarray:
-    return (mix(shingles) % np.uint64(SLOTS)).astype(np.int64)
+    return texts.select("node", "component", "text").mapInArrow(run, "node long, component long, n long, token long")
 
 
 def prefixes(texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of texts (doc_id, component, text) the first shingles in the order of their frequency, with the size of the set (n) and
-    how many of it are left from this one on (rest). Two sets whose similarity is `percent` or more share one of them."""
-    sent = texts.sparkSession.sparkContext.broadcast(_frequency(texts, width))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = worker_hashes()
-        for batch in small_batches(batches):
-            row, token, size, rest = [], [], [], []
-            for i, text in enumerate(as_bytes(batch.column(2))):
-                found = shingle_set(text, width, hashes)
-                n = len(found)
-                first = n + (-percent * n) // 100 + 1 if n else 0  # all but the smallest intersection, and one
-                token.append(found[np.lexsort((found, sent.value[_slot(found)]))[:first]])
-                row.append(np.full(first, i))
-                size.append(np.full(first, n))
-                rest.append(n - np.arange(first))
-            at = pa.array(np.concatenate(row).astype(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(signed(np.concatenate(token))),
-                 pa.array(np.concatenate(size).astype(np.int64)), pa.array(np.concatenate(rest).astype(np.int64))],
-                names=["doc_id", "component", "token", "n", "rest"])
-
-    return texts.select("doc_id", "component", "text").mapInArrow(run, "doc_id long, component long, token long, n long, rest long")
+    """Of texts (node, component, text) the first shingles (token) of each in one order of all, by the number of the texts that
+    have them (met), with the size of the set (n) and how many of it are left from this one on (rest). Two sets whose similarity is
+    `percent` or more share one of them. Shingles of one component alone are left out."""
+    tokens = stored(_tokens(texts, width), "tokens")
+    counts = tokens.groupBy("token").agg(F.count("*").alias("met"), F.min("component").alias("x"), F.max("component").alias("y"))
+    place = F.row_number().over(W.partitionBy("node").orderBy("met", "token"))
+    ranked = tokens.join(counts, "token").withColumn("rest", F.col("n") - place + 1)
+    # All but the smallest intersection that a similar set can have, and one.
+    return ranked.where(f"rest >= ({percent} * n + 99) div 100 AND x < y").select("node", "component", "token", "met", "n", "rest")
 
 
 def _unlinked(texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that can have the similarity, by their prefixes: all that have it are among them."""
-    rows = prefixes(texts, width, percent)
-    rows = stored(rows, "prefixes")
-    open_tokens = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("token")
-    rows = stored(rows.join(open_tokens, "token", "left_semi"), "prefixes")
-    # The first shingle that two sets share bounds what they share by what is left of either.
-    return rows.alias("a").join(rows.alias("b"), "token").where(
-        (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.component") != F.col("b.component"))
-        & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
+    """Pairs (a, b) of different components that can have the similarity, by their prefixes: all that have it are among them.
+
+    The first shingle that two sets share bounds what they share by what is left of either, so for the smaller set of a pair it
+    lies in a shorter prefix still. A shingle that many have there is dealt out: the larger sets by blocks of BLOCK_MEMBERS, the smaller to all of them.
+    """
+    rows = stored(prefixes(texts, width, percent), "prefixes")
+    blocks = F.ceil(F.col("met") / BLOCK_MEMBERS).cast("int")
+    larger = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    smaller = rows.where(f"{100 + percent} * rest >= {2 * percent} * n").withColumn(
+        "block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return smaller.alias("a").join(larger.alias("b"), ["token", "block"]).where(
+        ((F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.node") < F.col("b.node"))))
+        & (F.col("a.component") != F.col("b.component")) & (100 * F.col("a.n") >= percent * F.col("b.n"))
         & ((100 + percent) * F.least("a.rest", "b.rest") >= percent * (F.col("a.n") + F.col("b.n")))
-    ).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct()
+    ).select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -219,25 +221,34 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     (doc_id = component_id).
 
     Null and empty texts have no shingles and no links. A row with a null doc_id cannot be named: it has no links, its
-    component is null and it is kept. Rows that share a doc_id are one node with the links of all. Copies of one
-    text are one class, so a group of copies of any size costs one member. Columns beyond doc_id and text are ignored.
+    component is null and it is kept. Rows that share a doc_id are one document with the links of all their texts. Copies of one
+    text are one class, the node of the graph, so a group of copies of any size costs one member. Columns beyond doc_id and
+    text are ignored.
     """
     sketch = stored(sketches(docs, width), "sketches")
     named = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stored(named.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = named.join(classes.select("set_a", "set_b", F.col("rep").alias("doc_id")), ["set_a", "set_b", "doc_id"])
-    rows = reps.select("doc_id", F.explode("bands").alias("bucket"))
+    classes = named.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    rows = classes.select("node", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("met")).where("met > 1")
     members = stored(rows.join(shared, "bucket"), "members")
-    score = members.groupBy("doc_id").agg(F.sum("met").alias("score"))
-    members = stored(members.select("bucket", "doc_id").join(score, "doc_id"), "scored")
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    texts = stored(texts.join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+    score = members.groupBy("node").agg(F.sum("met").alias("score"))
+    members = stored(members.select("bucket", "node").join(score, "node"), "scored")
+
+    several = stored(sketch.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id"), "shared")
+    wanted = classes.select("node", "rep", "set_a", "set_b").join(members.select("node").distinct(), "node")
+    texts = _texts(docs, wanted, width, several)
+
+    # The classes of a document that has several are one component from the start.
+    own = named.select("doc_id", "set_a", "set_b").join(several, "doc_id").join(
+        classes.select("set_a", "set_b", "node"), ["set_a", "set_b"]).select("doc_id", "node").distinct()
+    own = stored(own, "own")
+    least = own.groupBy("doc_id").agg(F.min("node").alias("a"))
+    links = stored(own.join(least, "doc_id").where("a <> node").select("a", F.col("node").alias("b")), "links")
 
     spark = docs.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
     tested = spark.createDataFrame([], "a long, b long")
-    where = spark.createDataFrame([], "node long, component long")
+    where = components(links)
     active = _open(members, where)
     for centers in (1 << k for k in range(ROUNDS)):
         # Buckets in one component are finished; in the others the next centers are compared with all that are left.
@@ -245,31 +256,36 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
             break
         chosen = _centers(active, centers)
         star = active.join(chosen, "bucket").where("component <> its").select(
-            F.least("doc_id", "center").alias("a"), F.greatest("doc_id", "center").alias("b")).distinct()
+            F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
         pairs = stored(star.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionAll(pairs)
         links = links.unionAll(stored(verified(pairs, texts, width, percent), "links"))
         where = components(links)
         # Every member has been compared with these centers now, so they leave the bucket.
-        active = _open(active.select("bucket", "doc_id", "score").join(
-            chosen.select("bucket", F.col("center").alias("doc_id")), ["bucket", "doc_id"], "left_anti"), where)
+        active = _open(active.select("bucket", "node", "score").join(
+            chosen.select("bucket", F.col("center").alias("node")), ["bucket", "node"], "left_anti"), where)
     if not active.isEmpty():
-        rest = active.select("doc_id", "component").distinct().join(texts, "doc_id")
+        rest = active.select("node", "component").distinct().join(texts, "node")
         pairs = stored(_unlinked(rest, width, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
         where = components(links.unionAll(verified(pairs, texts, width, percent)))
-    found = classes.join(where, F.col("rep") == F.col("node"), "left").select(
-        "set_a", "set_b", F.coalesce("component", "rep").alias("component"))
-    # Rows that share a doc_id through different texts meet in one node.
+
+    # A component is named by its smallest doc_id.
+    linked = where.join(classes.select("node", "rep"), "node")
+    names = linked.groupBy("component").agg(F.min("rep").alias("name"))
+    linked = stored(linked.join(names, "component").select("node", "name"), "names")
+    found = classes.join(linked, "node", "left").select("node", "set_a", "set_b", F.coalesce("name", "rep").alias("component_id"))
+    # Rows of such a document that have no shingles stand with its others.
+    by_id = own.join(found.select("node", "component_id"), "node").groupBy("doc_id").agg(F.min("component_id").alias("of_id"))
     out = sketch.select("doc_id", "n_shingles", *(F.when(F.col("n_shingles") > 0, F.col(c)).alias(c) for c in ("set_a", "set_b")))
-    linked = out.join(found, ["set_a", "set_b"], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
-    return linked.select("*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    placed = out.join(found.drop("node"), ["set_a", "set_b"], "left").join(by_id, "doc_id", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "of_id", "doc_id")).alias("component_id"))
+    return placed.select("*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def _open(members: DataFrame, where: DataFrame) -> DataFrame:
     """The members of buckets that are in more than one component, with their components."""
-    placed = members.join(where, F.col("doc_id") == F.col("node"), "left").select(
-        "bucket", "doc_id", "score", F.coalesce("component", "doc_id").alias("component"))
+    placed = members.join(where, "node", "left").select(
+        "bucket", "node", "score", F.coalesce("component", "node").alias("component"))
     several = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
     return stored(placed.join(several, "bucket", "left_semi"), "active")
 
@@ -277,10 +293,10 @@ def _open(members: DataFrame, where: DataFrame) -> DataFrame:
 def _centers(active: DataFrame, count: int) -> DataFrame:
     """The `count` members of highest score of every bucket, with their components. One is found by an aggregate that combines
     before the shuffle; more are wanted only in the few buckets that are still open after the first round."""
-    rank = F.struct("score", (-F.col("doc_id")).alias("low"), "component")
+    rank = F.struct("score", (-F.col("node")).alias("low"), "component")
     if count == 1:
         top = active.groupBy("bucket").agg(F.max(rank).alias("m"))
     else:
-        order = W.partitionBy("bucket").orderBy(F.desc("score"), "doc_id")
+        order = W.partitionBy("bucket").orderBy(F.desc("score"), "node")
         top = active.withColumn("n", F.row_number().over(order)).where(F.col("n") <= count).select("bucket", rank.alias("m"))
     return top.select("bucket", (-F.col("m.low")).alias("center"), F.col("m.component").alias("its"))

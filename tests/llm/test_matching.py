@@ -135,6 +135,67 @@ def test_links_that_share_only_the_bands_of_a_template_are_found(spark):
     assert len(set(want.values())) == 80 and got == want
 
 
+def components_of(spark, rows, width=2):
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width).collect()
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+    return sorted((r.doc_id, r.component_id) for r in found)
+
+
+def test_rows_that_share_a_doc_id_are_one_document(spark):
+    rng = random.Random(4)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    a, b = words(30), words(30)
+    near_a, near_b, far_b = a[:-1] + ["x"], b[:-1] + ["y"], b[:14] + words(16)
+    text = " ".join
+    assert components_of(spark, [(1, text(a)), (1, text(b)), (0, text(b))]) == [(0, 0), (1, 0), (1, 0)]
+    assert components_of(spark, [(5, text(a)), (5, text(b)), (6, text(near_a)), (7, text(near_b)), (8, text(b[1:]))]) == [
+        (5, 5), (5, 5), (6, 5), (7, 5), (8, 5)]
+    # The second text of an id is compared by its own shingles, and repeated rows and rows without words change nothing.
+    rows = [(5, text(a)), (5, text(b)), (5, text(b)), (5, ""), (5, None), (4, text(near_b)), (6, text(far_b)), (9, text(a)), (2, "")]
+    assert components_of(spark, rows) == [(2, 2), (4, 4), *[(5, 4)] * 5, (6, 6), (9, 4)]
+
+
+def test_the_exact_index_proposes_little_among_templates_and_background(spark):
+    """Families that share a template just under the similarity, with a few true pairs, among many texts of other words."""
+    rng = random.Random(6)
+    rows, want, node = [], set(), 0
+    for family in range(3):
+        template = [f"t{family}x{i}" for i in range(100)]
+        for d in range(150):
+            own = [f"f{family}w{d}x{i}" for i in range(14)]
+            rows.append((node, node, " ".join(template + own)))
+            node += 1
+            if d % 10 == 0:
+                rows.append((node, node, " ".join(template + own[:-1] + ["z"])))
+                want.add((node - 1, node))
+                node += 1
+    for _ in range(50_000):
+        rows.append((node, node, " ".join(f"b{rng.randrange(40_000)}" for _ in range(12))))
+        node += 1
+    texts = spark.createDataFrame(rows, "node long, component long, text string")
+    found = {(r.a, r.b) for r in minhash._unlinked(texts, 2, 80).collect()}
+    assert found >= want and len(found) < len(want) + 2000, len(found)
+
+
+@pytest.mark.parametrize("block", [2000, 3])
+def test_the_exact_index_loses_no_pair(spark, monkeypatch, block):
+    """All pairs of 0.8 or more among texts of few words, of many sizes, with shingles that most have in common."""
+    monkeypatch.setattr(minhash, "BLOCK_MEMBERS", block)
+    rng = random.Random(7)
+    docs = []
+    for d in range(400):
+        base = [f"c{i}" for i in range(rng.randrange(4, 40))]
+        for _ in range(rng.randrange(0, 8)):
+            base[rng.randrange(len(base))] = f"v{rng.randrange(30)}"
+        docs.append((d, " ".join(base)))
+    sets = {d: shingles(t, 2) for d, t in docs}
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    texts = spark.createDataFrame([(d, d, t) for d, t in docs], "node long, component long, text string")
+    pairs = minhash._unlinked(texts, 2, 80)
+    assert {(r.a, r.b) for r in pairs.collect()} >= want and len(want) > 200
+    assert {(r.a, r.b) for r in minhash.verified(pairs, texts, 2, 80).collect()} == want
+
+
 def test_near_duplicates_of_awkward_rows(spark, awkward, nothing):
     rows = minhash.near_duplicates(awkward, 2).collect()
     assert len(rows) == awkward.count()
