@@ -121,27 +121,27 @@ class Size:
     near: np.ndarray  # block number, block value -> whether some item has a value near it there
 
     def __post_init__(self) -> None:
-        # For each block the values near some item's in order, and which items those are: of one value in `members` from its start on.
+        # For each block: the start of a value's items in `members`, how many they are, and the items.
         masks = np.array(near_values(0, RADIUS // BLOCKS), np.uint16)
         self.lists = []
         for row in self.prints.view(np.uint16).reshape(-1, BLOCKS).T:
             pairs = (row[:, None] ^ masks[None]).ravel()
-            order = np.argsort(pairs, kind="stable")
-            values, starts = np.unique(pairs[order], return_index=True)
-            self.lists.append((values, np.append(starts, len(pairs)), (order // len(masks)).astype(np.int32)))
+            count = np.bincount(pairs, minlength=1 << BLOCK_BITS).astype(np.int32)
+            members = (np.argsort(pairs, kind="stable") // len(masks)).astype(np.int32)
+            self.lists.append(((np.cumsum(count) - count).astype(np.int32), count, members))
 
     def candidates(self, prints: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(block, windows, places of items) that have near values in the block. Only these are compared: of unlike fingerprints
         one pair in 480 a block."""
         parts = prints.view(np.uint16).reshape(-1, BLOCKS)
-        for b, (values, starts, members) in enumerate(self.lists):
+        for b, (starts, counts, members) in enumerate(self.lists):
             hit = np.flatnonzero(self.near[b][parts[:, b]])
             for i in range(0, len(hit), TILE):
                 at = hit[i:i + TILE]
-                place = np.searchsorted(values, parts[at, b])
-                count = starts[place + 1] - starts[place]
-                first = np.cumsum(count) - count
-                yield b, np.repeat(at, count), members[np.arange(count.sum()) + np.repeat(starts[place] - first, count)]
+                value = parts[at, b]
+                count = counts[value]
+                before = np.cumsum(count) - count
+                yield b, np.repeat(at, count), members[np.arange(count.sum()) + np.repeat(starts[value] - before, count)]
 
     def hits(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(window, item, distance) of all pairs within the radius."""
