@@ -1,7 +1,7 @@
 """Packing of documents into windows by best-fit decreasing.
 
 Every task tokenises its documents, cuts overlong ones into full windows and packs the remainders with
-best-fit decreasing over the pieces it holds. No token is shuffled, and nothing depends on other tasks, so a
+best-fit decreasing over the pieces it holds, in turns of bounded size. No token is shuffled, and nothing depends on other tasks, so a
 lost task is simply run again. With W tokens a window, a task wastes no more than a few windows however
 many pieces it has; windows of different tasks are never shared.
 """
@@ -23,7 +23,10 @@ from pyspark.sql import DataFrame
 from shelfmark.llm.common import small_batches
 
 SEPARATOR = 0
+# A task packs the remainders it holds when they are so many, or their ids take so many bytes; counted alike whether or not the
+# ids are returned, so both forms pack a table the same way.
 PIECES_AT_ONCE = 200_000
+BYTES_AT_ONCE = 64_000_000
 TASK_SHIFT = 40  # a window's id is its task's number above these bits, and a count below
 
 
@@ -180,7 +183,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 1024, with_ids: bool = T
             used += opened
 
         short: list[tuple] = []
-        held = 0  # bytes of ids kept for the remainders
+        held = 0  # bytes of the remainders' ids
         for batch in small_batches(batches, 256):
             full: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -190,11 +193,11 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 1024, with_ids: bool = T
                     part = ids[4 * start:4 * (start + window)]
                     piece = (doc, start, len(part) // 4, zlib.crc32(part), total, part if with_ids else b"")
                     (full if piece[2] == window else short).append(piece)
-                    held += len(piece[5]) * (piece[2] < window)
+                    held += len(part) * (piece[2] < window)
             if full:
                 yield rows(full, range(task + used, task + used + len(full)), [0] * len(full))
                 used += len(full)
-            if len(short) >= PIECES_AT_ONCE or held >= 64_000_000:
+            if len(short) >= PIECES_AT_ONCE or held >= BYTES_AT_ONCE:
                 yield from packed(short)
                 short, held = [], 0
         if short:
