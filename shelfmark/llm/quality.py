@@ -29,6 +29,7 @@ FEATURES = {
     "marks": ("n_marks", "n_words"),
     "digits": ("n_digits", "word_chars"),
 }
+LABELLED_ROWS = 20_000  # bound of the labelled sample the rules are learned from
 THRESHOLDS = 24
 MAX_RULES = 8
 MAX_CONDITIONS = 3
@@ -209,12 +210,21 @@ def base_failed(of: Callable[[str], Column] = F.col) -> Column:
     return (words < 50) | (100 * repeats > 50 * words)
 
 
-def rules_from(stats: DataFrame, labels: DataFrame) -> list[Rule]:
-    """The decision list for the labelled documents among `stats` that pass the base test."""
-    marked = labels.where("quality IN (0, 1)").select(F.col("doc_id").alias("labelled"), (1 - F.col("quality")).alias("reject"))
-    features = [f"f_{f}" for f in FEATURES]
-    return learn_rules(stored(stats.where(~base_failed()).join(marked, F.col("doc_id") == F.col("labelled"))
-                              .select("doc_id", F.col("reject").cast("int"), *features), "labelled"))
+def labelled(labels: DataFrame) -> DataFrame:
+    """doc_id and reject of at most LABELLED_ROWS labelled documents, by a hash of doc_id. Repeated labels of a document count once;
+    where they contradict each other it is to be rejected."""
+    known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("labelled")).agg(
+        F.max(1 - F.col("quality")).cast("int").alias("reject"))
+    return known.orderBy(F.xxhash64("labelled"), "labelled").limit(LABELLED_ROWS)
+
+
+def rules_from(docs: DataFrame, labels: DataFrame, measure: Callable[[DataFrame], DataFrame]) -> list[Rule]:
+    """The decision list for the labelled documents that pass the base test. `measure` gives the statistics of the rows of `docs` that
+    have a label; at most LABELLED_ROWS ids are sent to the tasks."""
+    known = F.broadcast(labelled(labels))
+    marked = docs.join(known.select("labelled"), F.col("doc_id") == F.col("labelled"), "left_semi")
+    stats = measure(marked).where(~base_failed()).join(known, F.col("doc_id") == F.col("labelled"))
+    return learn_rules(stored(stats.select("doc_id", "reject", *(f"f_{f}" for f in FEATURES)), "labelled"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -223,7 +233,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     The learned list filters the texts where they are read, so no text is shuffled. The whole verdict is one expression whose
     steps are bound to each other; as columns of their own they would be copied into the pushed-down filter.
     """
-    rules = rules_from(stored(with_features(text_statistics(docs)), "quality"), labels)
+    rules = rules_from(docs, labels, lambda marked: with_features(text_statistics(marked)))
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def good(n: Column) -> Column:
@@ -238,13 +248,12 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def judge_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the base statistics, base_failed, kept, the number of the learned rule that rejects, and that rule.
 
-    Rules are learned from all labelled documents that pass the base test (`labels`: doc_id, quality 0 or 1; null labels are
-    ignored). A document
-    fails the base test with under 50 words, or if more than half of them lie in repeated 3-word windows.
+    Rules are learned from at most LABELLED_ROWS labelled documents, of which those that pass the base test count (`labels`: doc_id,
+    quality 0 or 1; null labels are ignored, repeated ones of a document count once, and 0 where they contradict). A document fails the base test with under 50 words, or if more than half of them lie in repeated 3-word windows.
     Null and empty texts have no words and fail. Repeated rows are judged each; an empty table gives no rows.
     """
     stats = stored(with_features(text_statistics(docs)), "quality")
-    rules = rules_from(stats, labels)
+    rules = rules_from(stats, labels, lambda marked: marked)
     failed = base_failed()
     texts = F.create_map(*(x for i, r in enumerate(rules, 1) for x in (F.lit(i), F.lit(describe(r))))) if rules else None
     return stats.select(

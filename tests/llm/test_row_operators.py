@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -144,6 +146,87 @@ def test_quality_of_awkward_rows(spark, awkward, nothing):
     assert quality.judge_quality(nothing, labels).count() == 0
 
 
+def test_rules_are_learned_from_one_label_a_document(spark):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (2, 1), (3, None), (None, 0), (4, 7)], "doc_id long, quality int")
+    assert sorted((r.labelled, r.reject) for r in quality.labelled(labels).collect()) == [(1, 1), (2, 0)]
+
+
+def test_the_filter_and_the_judgement_agree(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    kept = {r.doc_id for r in quality.keep_good(docs, labels).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in quality.judge_quality(docs, labels).where("kept").collect()}
+
+
+def plain_covering(rows):
+    """Sequential covering in plain Python: grow by information gain on two thirds of the rows, prune on the others."""
+    marks = [i / quality.THRESHOLDS for i in range(quality.THRESHOLDS + 1)]
+    names = list(quality.FEATURES)
+    edges = {}
+    for f in names:
+        cuts = set()
+        for k in (0, 1):
+            values = sorted(r[f] for r in rows if r["reject"] == k and r[f] is not None)
+            cuts |= {values[max(0, math.ceil(m * len(values)) - 1)] for m in marks} if values else set()
+        edges[f] = sorted(cuts)
+
+    def holds(rule, r):
+        return all(r[f] is not None and ((r[f] >= t) == above) for f, above, t in rule)
+
+    def best(rows, features):
+        bad, good = sum(r["reject"] for r in rows), sum(1 - r["reject"] for r in rows)
+        chosen, top = None, (1e-9, 0)
+        if not bad or not good:
+            return None
+        for f in features:
+            for t in edges[f][1:]:
+                for above in (True, False):
+                    inside = [r["reject"] for r in rows if holds([(f, above, t)], r)]
+                    p, q = sum(inside), len(inside) - sum(inside)
+                    if p and (score := (p * (math.log2(p / (p + q)) - math.log2(bad / (bad + good))), -q)) > top:
+                        chosen, top = (f, above, t), score
+        return chosen
+
+    rules, starts = [], list(names)
+    while starts and len(rules) < quality.MAX_RULES:
+        left = [r for r in rows if not any(holds(x, r) for x in rules)]
+        grow, prune = [r for r in left if not r["prunes"]], [r for r in left if r["prunes"]]
+        grown = []
+        while len(grown) < quality.MAX_CONDITIONS:
+            condition = best([r for r in grow if holds(grown, r)], names if grown else starts)
+            if condition is None:
+                break
+            grown.append(condition)
+        if not grown:
+            break
+        counts = []
+        for k in range(1, len(grown) + 1):
+            inside = [r["reject"] for r in prune if holds(grown[:k], r)]
+            counts.append((sum(inside), len(inside) - sum(inside)))
+        k = max(range(len(counts)), key=lambda k: ((counts[k][0] - counts[k][1]) / (sum(counts[k]) + 1), -k))
+        p, q = counts[k]
+        if p >= quality.LEAST_COVERED and p >= quality.LEAST_PRECISION * (p + q):
+            rules.append(grown[:k + 1])
+        else:
+            starts.remove(grown[0][0])
+    return rules
+
+
+def test_the_learner_matches_plain_covering(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(600):
+        values = {f: rng.randrange(40) / 40 for f in quality.FEATURES}
+        if i % 17 == 0:
+            values["digits"] = None
+        reject = int(values["symbols"] > 0.7 and values["marks"] < 0.6 or (values["digits"] or 0) > 0.9)
+        rows.append((i, reject, *values.values()))
+    df = spark.createDataFrame(rows, "doc_id long, reject int, " + ", ".join(f"f_{f} double" for f in quality.FEATURES))
+    prunes = {r.doc_id: r.p for r in df.selectExpr("doc_id", "pmod(xxhash64(doc_id), 3) = 0 AS p").collect()}
+    want = plain_covering([{"reject": r[1], "prunes": prunes[r[0]], **dict(zip(quality.FEATURES, r[2:]))} for r in rows])
+    got = [[(c.feature, c.above, c.threshold) for c in rule] for rule in quality.learn_rules(df)]
+    assert got == want and len(got) >= 2
+
+
 # packing
 
 def test_packing_round_trip(spark, documents):
@@ -172,6 +255,15 @@ def test_packing_round_trip(spark, documents):
     assert used >= 0.98 * 1024 * len(by_sequence)
 
 
+def test_both_forms_pack_alike(spark, monkeypatch):
+    """With and without the ids, and with several turns in a task."""
+    monkeypatch.setattr(packing, "BYTES_AT_ONCE", 40_000)
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").coalesce(1)
+    places = [sorted((p.doc_id, p.start, p.length, p.ids_crc32, p.sequence_id, p.offset) for p in packing.pack(
+        docs, queries.tokenizer_path(), with_ids=ids).collect()) for ids in (True, False)]
+    assert places[0] == places[1]
+
+
 def test_best_fit_decreasing_takes_the_tightest_window():
     rng = np.random.default_rng(3)
     lengths = rng.integers(1, 65, 500)
