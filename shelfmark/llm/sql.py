@@ -40,18 +40,21 @@ def _revisits() -> str:
     lines = ", ".join(f"'{name}: ' || {value}" for name, value in fields.items())
     tag = "'\"' || substr(digest, 1, 16) || '\"'"
     return f"""
-        WITH a AS (SELECT page_id AS p, url, sha256(coalesce(html, '')) AS digest,
+        WITH a AS (SELECT page_id AS p, url, coalesce(html, '') AS html,
             regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#.*$', '', 's') AS rest FROM pages),
         b AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^www\\.', ''), ':(80|443)$', '') AS host,
             regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
             list_sort([x FOR x IN string_split(regexp_extract(rest, '^[^?]*\\?(.*)$', 1, 's'), '&')
                 IF x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref)=')]) AS query FROM a),
         c AS (SELECT *, host || path || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS canonical_url FROM b),
-        r AS (SELECT 2 * p AS id, canonical_url, 60 * p AS t, digest, CASE WHEN p % 4 <> 3 THEN {tag} END AS etag,
-            CASE WHEN p % 6 <> 5 THEN 'day-' || (p // 1440) END AS modified FROM c),
-        v AS (SELECT 2 * p + 1 AS id, canonical_url, 60 * p + 86400 * (p % 3 + 1) AS t,
+        ver AS (SELECT c.*, k, sha256(html || CASE WHEN k > 0 THEN '#' || k ELSE '' END) AS digest FROM c, range(3) n(k) WHERE k <= p % 3),
+        r AS (SELECT 10 * p + k AS id, canonical_url, 60 * p + CASE k WHEN 0 THEN 0 WHEN 1 THEN 40000 ELSE 130000 END AS t, digest,
+            CASE WHEN p % 4 <> 3 THEN {tag} END AS etag, CASE WHEN p % 6 <> 5 THEN 'day-' || (p // 1440 + k) END AS modified FROM ver),
+        at_times AS (SELECT p, 5 AS n, 86400 * (p % 3 + 1) AS later, p % 3 AS k FROM c UNION ALL
+            SELECT p, 6, 60000, 1 FROM c WHERE p % 3 > 0 UNION ALL SELECT p, 7, -30, 0 FROM c WHERE p % 11 = 0),
+        v AS (SELECT 10 * p + n AS id, canonical_url, 60 * p + later AS t,
             CASE WHEN p % 10 = 7 THEN '"stale"' WHEN p % 10 < 7 THEN 'W/' || {tag} END AS etag,
-            CASE WHEN p % 7 < 4 THEN 'day-' || (p // 1440) WHEN p % 7 = 4 THEN 'day-x' END AS modified FROM c),
+            CASE WHEN p % 7 < 4 THEN 'day-' || (p // 1440 + k) WHEN p % 7 = 4 THEN 'day-x' END AS modified FROM ver JOIN at_times USING (p, k)),
         j AS (SELECT v.id AS record_id, v.canonical_url, v.t AS captured_at, r.id AS response_id, r.t AS response_at, r.digest,
             CASE WHEN r.id IS NULL THEN 'no_response'
                 WHEN v.etag IS NOT NULL AND r.etag IS NOT NULL THEN
