@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm.common import small_batches
 
 SLASH = ord("/")
+FEW = 32  # texts still unfinished, of which each is read on by itself
 
 
 @dataclass(frozen=True)
@@ -86,6 +87,8 @@ class Automaton:
             self.final.append((at >> 6, np.uint64(1 << (at & 63))))
             at += 1
         self.step, self.stay = step, stay
+        # The same masks as whole numbers.
+        self.wide = [[int.from_bytes(row.tobytes(), "little") for row in table] for table in (step, stay)]
 
     @staticmethod
     def _parse(pattern: str) -> tuple[list[int | None], dict[int, int]]:
@@ -108,6 +111,10 @@ class Automaton:
         state = np.tile(self.start, (len(texts), 1))
         for i in range(int(sizes[0]) if len(texts) else 0):
             n = int(np.searchsorted(-sizes, -i, side="left"))  # texts longer than i come first
+            if n <= FEW:
+                for k in range(n):
+                    state[k] = self._read_on(state[k], data[starts[k] + i:starts[k] + sizes[k]].tobytes())
+                break
             byte, now = data[starts[:n] + i], state[:n]
             moved = now << np.uint64(1)
             moved[:, 1:] |= now[:, :-1] >> np.uint64(63)
@@ -117,6 +124,14 @@ class Automaton:
             found[order, k] = (state[:, word] & bit) != 0
         return found
 
+    def _read_on(self, state: np.ndarray, rest: bytes) -> np.ndarray:
+        """The state after the rest of one text. No step leads to the bit before a pattern, so none runs into the next one."""
+        step, stay = self.wide
+        now = int.from_bytes(state.tobytes(), "little")
+        for byte in rest:
+            now = (now << 1) & step[byte] | now & stay[byte]
+        return np.frombuffer(now.to_bytes(8 * self.words, "little"), np.uint64)
+
 
 def split_url(url: Column) -> tuple[Column, Column]:
     """(host with A-Z lower-cased, path) after the first `://`; both empty where there is none or the url is null."""
