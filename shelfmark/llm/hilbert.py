@@ -94,8 +94,11 @@ def hilbert_shards(df: DataFrame, dimensions: Mapping[str, Column], order: list[
     `dimensions` name the columns to cluster by and `order` breaks ties inside a cell; a cell with any share
     of the rows is spread over range partitions by it. Counts of any two shards differ by one at most. Nulls form
     the lowest cell of a dimension, equal rows are placed next to each other, fewer rows than shards leave shards empty,
-    and an empty table stays empty. `df` must not have the three new columns.
+    and an empty table stays empty. A `df` that has one of the three new columns is refused.
     """
+    taken = {"curve", "shard", "slot"} & set(df.columns)
+    if taken:
+        raise ValueError(f"the table has columns named {', '.join(sorted(taken))} already")
     placed = number_rows(df.withColumn("curve", hilbert_index(quantised(df, dimensions, bits), bits)),
                          [F.col("curve"), *order])
     before = F.col("row_number") - 1

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -108,6 +109,29 @@ def test_urls_by_hand(spark):
         (10, "h", "/ads/x", None, "block"), (None, "h", "/\u00e9", None, "allow")], key=str)
 
 
+def test_very_long_urls_are_read_whole_and_soon(spark):
+    rng = random.Random(2)
+    tails = ["/login", "/x.jpg", "/ads/y", ".jpg/", "/en/"]
+    rows = [(i, "http://" + rng.choice(["a.net", "example.net", "ads.x", "h"]) + "/" + "ab/c" * (rng.randrange(3) * 60_000) + rng.choice(tails)) for i in range(40)]
+    rows.append((99, "http://example.net/en/" + "q" * 1_000_000 + ".jpg"))
+    started = time.monotonic()
+    got = as_dict(urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string")), "page_id")
+    assert time.monotonic() - started < 20 and got[99].verdict == "allow" and got[99].glob == "**.jpg"
+    patterns = [g.pattern for g in urls.GLOBS]
+    regexes = [re.compile("".join({"**": ".*", "*": "[^/]*", "?": "[^/]"}.get(p) or re.escape(p) for p in re.split(r"(\*\*|\*|\?)", g) if p), re.S)
+               for g in patterns]
+    for i, url in rows[:-1]:
+        text = got[i].host + got[i].path
+        assert got[i].glob == next((g for g, rx in zip(patterns, regexes) if rx.fullmatch(text)), None)
+
+
+def test_urls_of_empty_tables_and_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/x")], "page_id long, url string").selectExpr(
+        "*", "'q' AS host", "'r' AS path", "1 AS rule", "2 AS verdict", "3 AS `glob`", "4 AS page")
+    assert [(r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(pages).collect()] == [("a.net", "/x", "net/", "block")]
+    assert urls.judge_urls(pages.limit(0)).collect() == []
+
+
 # quality
 
 def brute_statistics(text):
@@ -331,3 +355,21 @@ def test_shards_of_awkward_rows(spark, awkward, nothing):
     assert len(rows) == awkward.count() and {r.size for r in rows if r.doc_id in (1, 2)} == {8}
     assert max(Counter(r.shard for r in rows).values()) == 1
     assert hilbert.document_shards(nothing, 24).count() == 0
+
+
+def test_shards_are_runs_of_the_curve(spark):
+    """No row of a shard lies before one of an earlier shard on the curve, and slots follow the curve inside a shard."""
+    rows = sorted((r.shard, r.slot, r.curve) for r in queries.op10_hilbert_shards(spark, DATA).collect())
+    curves = [c for _, _, c in rows]
+    assert curves == sorted(curves) and len(set(curves)) > 100
+    # Neighbours on the curve are neighbours in one dimension.
+    cells = spark.range(1 << 6).selectExpr("CAST(id div 8 AS INT) AS x", "CAST(id % 8 AS INT) AS y")
+    walk = sorted((r.d, r.x, r.y) for r in cells.withColumn("d", hilbert.hilbert_index([cells["x"], cells["y"]], 3)).collect())
+    assert [d for d, _, _ in walk] == list(range(64))
+    assert all(abs(a[1] - b[1]) + abs(a[2] - b[2]) == 1 for a, b in zip(walk, walk[1:]))
+
+
+def test_shards_refuse_clashing_columns(spark):
+    df = spark.createDataFrame([(1, 2)], "x int, shard int")
+    with pytest.raises(ValueError, match="shard"):
+        hilbert.hilbert_shards(df, {"x": df["x"]}, [df["x"]], 2)
