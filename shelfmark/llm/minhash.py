@@ -126,18 +126,17 @@ def _texts(docs: DataFrame, wanted: DataFrame, width: int, shared: DataFrame) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = worker_hashes()
         for batch in small_batches(batches):
-            named = [_name(shingle_set(t, width, hashes)) for t in as_bytes(batch.column(1))]
-            names = np.stack(named) if named else np.empty((0, 2), np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names[:, 0]), pa.array(names[:, 1]), batch.column(1)],
-                                             names=["rep", "set_a", "set_b", "text"])
+            node, first, second, text = batch.columns
+            named = [_name(shingle_set(t, width, hashes)).tolist() for t in as_bytes(text)]
+            own = [n == [a, b] for n, a, b in zip(named, first.to_pylist(), second.to_pylist())]
+            yield pa.RecordBatch.from_arrays([node, text], names=["node", "text"]).filter(pa.array(own, pa.bool_()))
 
     texts = docs.select(docs["doc_id"].cast("long").alias("rep"), docs["text"])
-    ids = shared.select(F.col("doc_id").alias("rep"))
-    alone = texts.join(wanted.join(ids, "rep", "left_anti").select("node", "rep"), "rep").select("node", "text")
-    several = texts.join(wanted.join(ids, "rep", "left_semi").select("rep").distinct(), "rep", "left_semi").mapInArrow(
-        run, "rep long, set_a long, set_b long, text string")
-    told = several.join(wanted, ["rep", "set_a", "set_b"]).groupBy("node").agg(F.min("text").alias("text"))
-    return stored(alone.unionByName(told), "texts")
+    told = wanted.join(shared.select(F.col("doc_id").alias("rep"), F.lit(True).alias("several")), "rep", "left")
+    met = stored(texts.join(told, "rep").select("node", F.coalesce("several", F.lit(False)).alias("several"), "set_a", "set_b", "text"), "texts")
+    picked = met.where("several").select("node", "set_a", "set_b", "text").mapInArrow(run, "node long, text string")
+    return met.where("NOT several").select("node", "text").unionByName(
+        stored(picked.groupBy("node").agg(F.min("text").alias("text")), "texts"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -248,7 +247,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 
     spark = docs.sparkSession
     tested = spark.createDataFrame([], "a long, b long")
-    where = components(links)
+    where = components(links) if not links.isEmpty() else spark.createDataFrame([], "node long, component long")
     active = _open(members, where)
     for centers in (1 << k for k in range(ROUNDS)):
         # Buckets in one component are finished; in the others the next centers are compared with all that are left.
