@@ -233,7 +233,8 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     The learned list filters the texts where they are read, so no text is shuffled. The whole verdict is one expression whose
     steps are bound to each other; as columns of their own they would be copied into the pushed-down filter.
     """
-    rules = rules_from(docs, labels, lambda marked: with_features(text_statistics(marked)))
+    # The statistics are stored before a filter meets them, which would copy their expressions.
+    rules = rules_from(docs, labels, lambda marked: stored(with_features(text_statistics(marked)), "quality"))
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def good(n: Column) -> Column:
