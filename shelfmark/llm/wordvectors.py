@@ -18,6 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +34,7 @@ REACH = 2  # neighbours on either side
 WORDS_AT_ONCE = 1 << 16
 CACHED_WORDS = 200_000
 
-# Bounds of the labelled sample the network is fitted on.
-SAMPLE = 8000
-LONGEST = 200_000  # characters; longer texts are counted and scored but not trained on
+SAMPLE = 8000  # bound of the labelled sample the network is fitted on
 HIDDEN = 24
 EPOCHS = 60
 BATCH = 64
@@ -228,14 +227,28 @@ def usable(labels: DataFrame) -> DataFrame:
     return known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("quality").alias("quality"))
 
 
-def sample(docs: DataFrame, known: DataFrame) -> tuple[list[bytes], np.ndarray]:
-    """At most SAMPLE labelled rows by a hash of doc_id, with texts of up to LONGEST characters; equal texts count once."""
+def sample(docs: DataFrame, known: DataFrame, vectors: Broadcast) -> tuple[np.ndarray, np.ndarray]:
+    """Pooled vectors and labels of at most SAMPLE labelled rows by a hash of doc_id; equal texts count once. Texts are pooled
+    where they are read: the driver gets a row of fixed size for each of the sample's documents."""
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).where(F.length("text").between(1, LONGEST))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = Units()
+        for batch in small_batches(batches):
+            texts = as_bytes(batch.column(2))
+            names = [xxhash.xxh3_128_hexdigest(t) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(list(pooled(texts, vectors.value, units)), pa.list_(pa.float64()))],
+                names=["doc_id", "quality", "name", "pooled"])
+
+    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).where("text <> ''")
     # SAMPLE ids at most are sent to the tasks; repeated rows of an id are merged before they come back.
-    rows = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("text").alias("text")).toPandas()
-    rows = rows.sort_values(["doc_id"]).drop_duplicates("text")
-    return [t.encode("utf-8", "surrogatepass") for t in rows["text"]], rows["quality"].to_numpy(np.int64)
+    met = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "quality", "text").mapInArrow(
+        run, "doc_id long, quality int, name string, pooled array<double>")
+    rows = met.groupBy("doc_id").agg(F.min(F.struct("name", "quality", "pooled")).alias("row")).select("doc_id", "row.*").toPandas()
+    rows = rows.sort_values("doc_id").drop_duplicates("name")
+    x = np.array(rows["pooled"].tolist(), np.float64).reshape(len(rows), 4 * DIMENSION + 2)
+    return x, rows["quality"].to_numpy(np.int64)
 
 
 def best_temperature(counts: np.ndarray) -> float:
@@ -266,16 +279,15 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) ->
     ignored, repeated labels of a document count once, and the lower where they contradict each other. Without labels of both kinds
     every score is 0.5. An empty table gives an empty one. Columns beyond doc_id and text are not read.
     """
-    vectors = unit_vectors(count_contexts(docs))
+    context = docs.sparkSession.sparkContext
+    vectors = context.broadcast(unit_vectors(count_contexts(docs)))  # ROWS x DIMENSION numbers
     known = usable(labels)
-    texts, quality = sample(docs, known)
-    net = fit(pooled(texts, vectors, Units()), quality)
-    sent = docs.sparkSession.sparkContext.broadcast((vectors, net))  # ROWS x DIMENSION floats and the network
+    network = context.broadcast(fit(*sample(docs, known, vectors)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (table, network), units = sent.value, Units()
+        units = Units()
         for batch in small_batches(batches):
-            logit = network.logits(pooled(as_bytes(batch.column(2)), table, units))
+            logit = network.value.logits(pooled(as_bytes(batch.column(2)), vectors.value, units))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(logit, pa.float64())],
                                              names=["doc_id", "held_out", "logit"])
 
