@@ -125,6 +125,33 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def gradients(model: Model, x: np.ndarray, starts: np.ndarray, ends: np.ndarray, labels: np.ndarray, weight: np.ndarray):
+    """Of the cross entropy of some texts, each times its `weight`, from their word vectors with padding (see `joined`): by weights, bias
+    and offset, by the filters, and by the word vectors. A filter learns at the place of its highest response."""
+    filters, places, best = model.filters, [], []
+    for k in WIDTHS:
+        total = np.zeros((len(x), FILTERS), np.float32)
+        for j in range(k):
+            total[:len(x) - j] += (x @ filters[k][j])[j:]
+        place = np.stack([a + total[a:b].argmax(0) for a, b in zip(starts, ends)])
+        places.append(place)
+        best.append(np.take_along_axis(total, place, 0))
+    pooled = np.concatenate(best, axis=1)
+    active = np.maximum(pooled + model.bias, 0)
+    error = (sigmoid(active @ model.weights + model.offset) - labels) * weight
+    to_pool = error[:, None] * model.weights * (pooled + model.bias > 0)
+    steps = {"weights": active.T @ error, "bias": to_pool.sum(0), "offset": error.sum()}
+    of_filters, grad_x = {}, np.zeros_like(x)
+    for n, k in enumerate(WIDTHS):
+        g = to_pool[:, n * FILTERS:(n + 1) * FILTERS]
+        of_filters[k] = np.zeros_like(filters[k])
+        for j in range(k):
+            where = np.minimum(places[n] + j, len(x) - 1)
+            of_filters[k][j] = np.einsum("bf,bfd->df", g, x[where])
+            np.add.at(grad_x, where.ravel(), (g[:, :, None] * filters[k][j].T[None]).reshape(-1, DIMENSION))
+    return steps, of_filters, grad_x
+
+
 def train(texts: list[bytes], labels: np.ndarray, seed: int = 11) -> Model:
     """Fit the classifier by stochastic gradient descent with per-weight step sizes, without the rows kept aside. Without rows
     of both labels the model answers 0 for everything."""
@@ -162,34 +189,17 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 11) -> Model:
             e = rows[ids, :3]
             x = table[e].sum(1)
             x[(ids == 0) | (rng.random(len(ids)) < DROPPED)] = 0
-            places, best = [], []
-            for k in WIDTHS:
-                total = np.zeros((len(ids), FILTERS), np.float32)
-                for j in range(k):
-                    total[:len(ids) - j] += (x @ filters[k][j])[j:]
-                place = np.stack([a + total[a:b].argmax(0) for a, b in zip(starts, ends)])
-                places.append(place)
-                best.append(np.take_along_axis(total, place, 0))
-            pooled = np.concatenate(best, axis=1)
-            active = np.maximum(pooled + model.bias, 0)
-            error = (sigmoid(active @ model.weights + model.offset) - labels[chosen]) * balance[chosen] / len(chosen)
-            to_pool = error[:, None] * model.weights * (pooled + model.bias > 0)
-            steps = {"weights": active.T @ error + 1e-4 * model.weights, "bias": to_pool.sum(0)}
-            grad_x = np.zeros_like(x)
-            for n, k in enumerate(WIDTHS):
-                g = to_pool[:, n * FILTERS:(n + 1) * FILTERS]
-                step = np.zeros_like(filters[k])
-                for j in range(k):
-                    where = np.minimum(places[n] + j, len(ids) - 1)
-                    step[j] = np.einsum("bf,bfd->df", g, x[where])
-                    np.add.at(grad_x, where.ravel(), (g[:, :, None] * filters[k][j].T[None]).reshape(-1, DIMENSION))
+            steps, of_filters, grad_x = gradients(model, x, starts, ends, labels[chosen], balance[chosen] / len(chosen))
+            steps["weights"] += 1e-4 * model.weights
+            for k, step in of_filters.items():
                 seen[k] += step ** 2
                 filters[k] -= (RATE * step / np.sqrt(seen[k])).astype(np.float32)
+            by_offset = steps.pop("offset")
             for name, step in steps.items():
                 seen[name] += step ** 2
                 setattr(model, name, (getattr(model, name) - RATE * step / np.sqrt(seen[name])).astype(np.float32))
-            seen["offset"] += error.sum() ** 2
-            model.offset -= RATE * float(error.sum()) / np.sqrt(seen["offset"])
+            seen["offset"] += by_offset ** 2
+            model.offset -= RATE * float(by_offset) / np.sqrt(seen["offset"])
             touched = np.flatnonzero(grad_x.any(1) & x.any(1))
             target, grads = e[touched].ravel(), np.repeat(grad_x[touched], 3, axis=0)
             target, grads = target[known[target]], grads[known[target]]

@@ -40,6 +40,45 @@ def test_pooling_and_gradients_agree_with_loops():
         assert value == pytest.approx(np.maximum(np.array(best) + model.bias, 0) @ model.weights + model.offset, abs=1e-3)
 
 
+def test_gradients_match_differences():
+    """Of the loss of a few texts, by every kind of parameter."""
+    rng = np.random.default_rng(5)
+    texts = [np.arange(1, 6), np.arange(6, 9), np.array([9]), np.arange(10, 16)]
+    ids, starts, ends = toxicity.joined(texts)
+    x = rng.normal(0, 1, (len(ids), toxicity.DIMENSION))
+    x[ids == 0] = 0
+    n = toxicity.FILTERS * len(toxicity.WIDTHS)
+    model = toxicity.Model(None, {k: rng.normal(0, 0.5, (k, toxicity.DIMENSION, toxicity.FILTERS)) for k in toxicity.WIDTHS},
+                           rng.normal(0, 0.3, n), rng.normal(0, 0.5, n), 0.2, None)
+    labels, weight = np.array([1, 0, 1, 0]), np.array([0.5, 0.2, 0.7, 0.4])
+
+    def loss():
+        best = [max(sum(x[i + j] @ model.filters[k][j][:, f] for j in range(k) if i + j < len(x)) for i in range(a, b))
+                for a, b in zip(starts, ends) for k in toxicity.WIDTHS for f in range(toxicity.FILTERS)]
+        z = np.maximum(np.array(best).reshape(len(texts), n) + model.bias, 0) @ model.weights + model.offset
+        return (weight * np.logaddexp(0, np.where(labels == 1, -z, z))).sum()
+
+    steps, of_filters, of_words = toxicity.gradients(model, x, starts, ends, labels, weight)
+
+    def check(values, grads, some=12):
+        for at in rng.permutation(values.size)[:some]:
+            ends_ = []
+            for move in (1e-5, -2e-5):
+                values.flat[at] += move
+                ends_.append(loss())
+            values.flat[at] += 1e-5
+            assert (ends_[0] - ends_[1]) / 2e-5 == pytest.approx(grads.flat[at], abs=1e-4)
+
+    check(model.weights, steps["weights"])
+    check(model.bias, steps["bias"])
+    for k in toxicity.WIDTHS:
+        check(model.filters[k], of_filters[k])
+    check(x, of_words, 40)
+    before = loss()
+    model.offset += 1e-5
+    assert (loss() - before) / 1e-5 == pytest.approx(steps["offset"], abs=1e-3)
+
+
 def test_toxicity_of_awkward_rows(spark, awkward, nothing):
     labels = spark.createDataFrame([(3, 1), (5, 0), (3, 1), (None, 0), (7, None)], "doc_id long, toxic int")
     rows = toxicity.score_toxicity(awkward, labels).collect()
