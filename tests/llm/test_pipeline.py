@@ -78,4 +78,4 @@ def test_stages_take_awkward_rows(spark, awkward, nothing):
 
 def test_entry_lists_every_operator():
     names = [re.match(r"op(\d+)_", n) for n in __spark_entry__.queries()]
-    assert sorted(int(m[1]) for m in names if m) == list(range(1, 11))
+    assert sorted(int(m[1]) for m in names if m) == list(range(1, 14))
