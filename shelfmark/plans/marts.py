@@ -2,7 +2,8 @@
 
 Orders are summed per join key before the join, so the join moves one row per product or customer
 instead of one per order, and a best-selling product crosses the shuffle as one row per task. The
-category marts continue from the product sums.
+category marts continue from the product sums. A layer that needs several marts takes `order_sums`,
+which reads the orders once for all of them.
 """
 
 from __future__ import annotations
@@ -20,12 +21,35 @@ def _kept(orders: DataFrame, exclude: Sequence[str]) -> DataFrame:
     return orders.filter(~F.col("status").isin(*exclude)) if exclude else orders
 
 
-def _sums(orders: DataFrame, key: str) -> DataFrame:
+def _measures() -> list[Column]:
     amount = F.col("total_amount").cast(MONEY)
-    return orders.groupBy(key).agg(
+    return [
         F.count("order_id").alias("_orders"), F.sum("quantity").alias("_units"),
         F.sum(amount).alias("_amount"), F.count(amount).alias("_amounts"),
-    )
+    ]
+
+
+def _sums(orders: DataFrame, key: str) -> DataFrame:
+    return orders.groupBy(key).agg(*_measures())
+
+
+def order_sums(orders: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
+    """The sums every mart needs from one pass over the orders: a row per product and a row per customer token, told apart
+    by `grain`, the name of the key.
+
+    Tokens are hexadecimal, so they are shuffled as bytes, half as long; text that is not stays as it is.
+    """
+    token, packed = F.col("customer_token"), F.unhex("customer_token")
+    keyed = _kept(orders, exclude).withColumn("_packed", F.when(F.lower(F.hex(packed)) == token, packed)).withColumn(
+        "_text", F.when(F.col("_packed").isNull(), token))
+    grain = F.when(F.grouping("product_id") == 0, "product_id").otherwise("customer_token")
+    return keyed.groupingSets([["product_id"], ["_packed", "_text"]], "product_id", "_packed", "_text").agg(
+        grain.alias("grain"), *_measures(),
+    ).withColumn("customer_token", F.coalesce(F.lower(F.hex("_packed")), "_text")).drop("_packed", "_text")
+
+
+def _of_grain(sums: DataFrame, grain: str) -> DataFrame:
+    return sums.filter(F.col("grain") == grain).select(grain, "_orders", "_units", "_amount", "_amounts")
 
 
 def _revenue() -> Column:
@@ -38,8 +62,17 @@ def _average() -> Column:
 
 def sales_summary(orders: DataFrame, products: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Orders, units, revenue and average order value per product."""
+    return _per_product(_sums(_kept(orders, exclude), "product_id"), products)
+
+
+def sales_from_sums(sums: DataFrame, products: DataFrame) -> DataFrame:
+    """`sales_summary` from stored `order_sums`."""
+    return _per_product(_of_grain(sums, "product_id"), products)
+
+
+def _per_product(sums: DataFrame, products: DataFrame) -> DataFrame:
     named = products.select("product_id", "product_name", "category")
-    return _sums(_kept(orders, exclude), "product_id").join(named, "product_id").groupBy(
+    return sums.join(named, "product_id").groupBy(
         "product_id", "product_name", "category",
     ).agg(
         F.sum("_orders").alias("total_orders"), F.sum("_units").alias("total_quantity_sold"),
@@ -49,8 +82,17 @@ def sales_summary(orders: DataFrame, products: DataFrame, exclude: Sequence[str]
 
 def customer_summary(orders: DataFrame, customers: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Orders, spend and average order value per customer token."""
+    return _per_customer(_sums(_kept(orders, exclude), "customer_token"), customers)
+
+
+def customers_from_sums(sums: DataFrame, customers: DataFrame) -> DataFrame:
+    """`customer_summary` from stored `order_sums`."""
+    return _per_customer(_of_grain(sums, "customer_token"), customers)
+
+
+def _per_customer(sums: DataFrame, customers: DataFrame) -> DataFrame:
     people = customers.select("customer_token", "age_band", "city", "state")
-    return _sums(_kept(orders, exclude), "customer_token").join(people, "customer_token").groupBy(
+    return sums.join(people, "customer_token").groupBy(
         "customer_token", "age_band", "city", "state",
     ).agg(
         F.sum("_orders").alias("total_orders"), _revenue().alias("total_spent"), _average().alias("avg_order_value"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,6 +42,41 @@ def test_lakehouse_from_raw_to_gold(spark, views, tmp_path):
     assert gold["monthly_revenue"].agg(F.sum("monthly_revenue")).first()[0] == total
 
 
+def silver_of(spark, tokens):
+    """A silver layer with two orders per token and product, one of them without an amount."""
+    kinds = "order_id string, product_id int, customer_token string, quantity int, total_amount decimal(12,2), order_date date, status string"
+    orders = [(f"{token}-{product}-{i}", product, token, 2, None if i else "9.99", date(2001, 1 + n % 2, 3) if n else None, "PLACED")
+              for n, token in enumerate(tokens) for product in (1, 2, None) for i in (0, 1)]
+    orders = [(*r[:4], r[4] and Decimal(r[4]), *r[5:]) for r in orders]
+    return {
+        "orders_clean": spark.createDataFrame(orders, kinds),
+        "products_clean": spark.createDataFrame([(1, "a", "A"), (2, "b", "A")], "product_id int, product_name string, category string"),
+        "customers_secure": spark.createDataFrame([(t, "18-24", "c", "s") for t in tokens if t is not None],
+                                                  "customer_token string, age_band string, city string, state string"),
+    }
+
+
+def stored_silver(spark, path):
+    layers.write_layer(silver_of(spark, ["ab12", "AB12"]), path)
+    return layers.read_layer(spark, path, ["orders_clean", "products_clean", "customers_secure"])
+
+
+def test_customer_mart_reads_no_orders_again(spark, tmp_path):
+    gold = layers.gold_lake(stored_silver(spark, str(tmp_path / "silver")))
+    read = gold["customer_summary"].inputFiles()
+    assert any("customers_secure" in f for f in read) and not any("orders_clean" in f for f in read)
+
+
+def test_sums_keep_any_token_and_missing_keys(spark):
+    """Lower-case hexadecimal, other spellings of it, no hexadecimal, an odd number of digits, empty, missing."""
+    silver = silver_of(spark, ["ab12", "AB12", "aB12", "ab1", "0ab1", "token", "", " ", None])
+    gold, orders = layers.gold_lake(silver), silver["orders_clean"]
+    assert rows(gold["customer_summary"]) == rows(marts.customer_summary(orders, silver["customers_secure"]))
+    assert gold["customer_summary"].count() == 8
+    assert rows(gold["sales_summary"]) == rows(marts.sales_summary(orders, silver["products_clean"]))
+    assert gold["customer_summary"].schema == marts.customer_summary(orders, silver["customers_secure"]).schema
+
+
 def test_marts_can_leave_statuses_out(views):
     orders = views.lake_orders()
     without = marts.monthly_revenue(orders, exclude=["CANCELLED"]).agg(F.sum("monthly_revenue")).first()[0]
