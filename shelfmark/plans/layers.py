@@ -53,17 +53,16 @@ def silver_lake(cleaned: Layer, as_of: Column, secret: str | None = None) -> Lay
 
 
 def gold_lake(silver: Layer) -> Layer:
-    """The five marts. The orders are summed per product and per customer in one pass, whose sums are written once;
+    """The five marts. The orders are summed per product, customer and month in one pass, whose sums are written once;
     so is the product mart, which the category marts roll up."""
-    orders = silver["orders_clean"]
-    sums = durable(marts.order_sums(orders))
+    sums = durable(marts.order_sums(silver["orders_clean"]))
     by_product = durable(marts.sales_from_sums(sums, silver["products_clean"]))
     return {
         "sales_summary": by_product,
         "customer_summary": marts.customers_from_sums(sums, silver["customers_secure"]),
         "product_summary": marts.roll_up_products(by_product),
         "category_revenue": marts.roll_up_revenue(by_product),
-        "monthly_revenue": marts.monthly_revenue(orders),
+        "monthly_revenue": marts.months_from_sums(sums),
     }
 
 

@@ -34,16 +34,18 @@ def _sums(orders: DataFrame, key: str) -> DataFrame:
 
 
 def order_sums(orders: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """The sums every mart needs from one pass over the orders: a row per product and a row per customer token, told apart
-    by `grain`, the name of the key.
+    """The sums every mart needs from one pass over the orders: a row per product, per customer token and per month, told
+    apart by `grain`, the name of the key.
 
     Tokens are hexadecimal, so they are shuffled as bytes, half as long; text that is not stays as it is.
     """
     token, packed = F.col("customer_token"), F.unhex("customer_token")
     keyed = _kept(orders, exclude).withColumn("_packed", F.when(F.lower(F.hex(packed)) == token, packed)).withColumn(
         "_text", F.when(F.col("_packed").isNull(), token))
-    grain = F.when(F.grouping("product_id") == 0, "product_id").otherwise("customer_token")
-    return keyed.groupingSets([["product_id"], ["_packed", "_text"]], "product_id", "_packed", "_text").agg(
+    keyed = keyed.withColumn("order_month", month_key(F.col("order_date")))
+    grain = F.when(F.grouping("product_id") == 0, "product_id").when(F.grouping("order_month") == 0, "order_month").otherwise("customer_token")
+    sets = [["product_id"], ["_packed", "_text"], ["order_month"]]
+    return keyed.groupingSets(sets, "product_id", "_packed", "_text", "order_month").agg(
         grain.alias("grain"), *_measures(),
     ).withColumn("customer_token", F.coalesce(F.lower(F.hex("_packed")), "_text")).drop("_packed", "_text")
 
@@ -136,3 +138,8 @@ def monthly_revenue(orders: DataFrame, exclude: Sequence[str] = ()) -> DataFrame
         .groupBy(month_key(F.col("order_date")).alias("order_month"))
         .agg(F.round(F.sum(F.col("total_amount").cast(MONEY)), 2).alias("monthly_revenue"))
     )
+
+
+def months_from_sums(sums: DataFrame) -> DataFrame:
+    """`monthly_revenue` from stored `order_sums`."""
+    return _of_grain(sums, "order_month").select("order_month", F.round("_amount", 2).alias("monthly_revenue"))

@@ -67,6 +67,19 @@ def test_customer_mart_reads_no_orders_again(spark, tmp_path):
     assert any("customers_secure" in f for f in read) and not any("orders_clean" in f for f in read)
 
 
+def test_monthly_mart_reads_no_orders_again(spark, tmp_path):
+    gold = layers.gold_lake(stored_silver(spark, str(tmp_path / "silver")))
+    assert not any("orders_clean" in f for f in gold["monthly_revenue"].inputFiles())
+
+
+def test_sums_keep_orders_without_a_month(spark):
+    silver = silver_of(spark, ["a1", "b2", "c3", None])
+    got, orders = layers.gold_lake(silver)["monthly_revenue"], silver["orders_clean"]
+    wanted = marts.monthly_revenue(orders)
+    assert rows(got) == rows(wanted) and {r.order_month for r in got.collect()} == {None, "2001-01", "2001-02"}
+    assert got.dtypes == wanted.dtypes
+
+
 def test_sums_keep_any_token_and_missing_keys(spark):
     """Lower-case hexadecimal, other spellings of it, no hexadecimal, an odd number of digits, empty, missing."""
     silver = silver_of(spark, ["ab12", "AB12", "aB12", "ab1", "0ab1", "token", "", " ", None])
