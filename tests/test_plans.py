@@ -117,6 +117,26 @@ def test_best_line_per_customer_reads_the_lines_once(spark):
     assert scans(plan) <= 6
 
 
+@pytest.mark.parametrize("name", ["top_order_per_customer"])
+def test_lines_are_ranked_apart_from_the_joins(spark, name):
+    """The first sort by rank reads a shuffle of its own, so it never shares a task's memory with the sorts of the joins."""
+    lines = physical(registry.queries()[name](spark, SMALL)).split("== Initial Plan ==")[0].splitlines()
+    first = max(i for i, line in enumerate(lines) if "WindowGroupLimit" in line)
+    below = next(line for line in lines[first + 1:] if " Sort [" not in line)
+    assert "Exchange hashpartitioning(customer_id" in below and "pmod" in "".join(lines[first:first + 4]) and "REPARTITION_BY_COL" in below
+
+
+def test_best_lines_of_a_large_customer_keep_all_ties(spark):
+    """Ties in every share, a customer with lines of no value only, and lines of no customer."""
+    kinds = "customer_id int, row_id string, order_id int, sales decimal(12,2)"
+    large = spark.range(20000).selectExpr("1 AS customer_id", "concat('r', id) AS row_id", "CAST(id AS INT) AS order_id",
+                                          "CAST(IF(id % 400 = 7, 9.5, id % 9) AS DECIMAL(12,2)) AS sales")
+    few = spark.createDataFrame([(2, "a", 1, None), (2, "b", 2, None), (None, "c", 3, None), (3, None, 4, None)], kinds)
+    one = spark.sql("SELECT 3 AS customer_id, CAST(NULL AS STRING) AS row_id, 5 AS order_id, CAST(-2 AS DECIMAL(12,2)) AS sales")
+    best = [(r.customer_id, r.row_id) for r in customers.top_order_per_customer(large.unionByName(few).unionByName(one)).collect()]
+    assert sorted(best, key=str) == sorted([(1, f"r{i}") for i in range(7, 20000, 400)] + [(3, None)], key=str)
+
+
 def test_customer_sums_are_computed_once(spark, monkeypatch):
     """The stored sums are what both the best values and the result read: no scan of a table is left after them."""
     for name in ("top_customers_ranked", "bottom_customers_ranked"):
