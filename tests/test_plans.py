@@ -117,7 +117,7 @@ def test_best_line_per_customer_reads_the_lines_once(spark):
     assert scans(plan) <= 6
 
 
-@pytest.mark.parametrize("name", ["top_order_per_customer"])
+@pytest.mark.parametrize("name", ["top_order_per_customer", "top_order_per_customer_10"])
 def test_lines_are_ranked_apart_from_the_joins(spark, name):
     """The first sort by rank reads a shuffle of its own, so it never shares a task's memory with the sorts of the joins."""
     lines = physical(registry.queries()[name](spark, SMALL)).split("== Initial Plan ==")[0].splitlines()
